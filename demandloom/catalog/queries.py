@@ -14,9 +14,10 @@ from demandloom.catalog.sql import (
 from demandloom.catalog.views import SEED, Retail
 from demandloom.functions import columns as cols
 from demandloom.operators import allocate as alloc
-from demandloom.operators import bandit, forecast, metrics, prepare, profile, quality, weekly, windows
+from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, tuning, weekly, windows
+from demandloom.plans import weekly_plan
 from demandloom.schema import CATEGORY, HORIZON, LAGS, MEASURES, PRODUCT, STORE, WINDOWED, numbered
-from demandloom.session import scratch_path
+from demandloom.session import cut, scratch_path
 from demandloom.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,7 +215,7 @@ category_products AS (
     CATEGORY_MODE,
 ))
 def category_week_mean(r: Retail):
-    return steadied(weekly.weekly_facts(r.sales, r.active, CATEGORY), MEASURES)
+    return steadied(weekly.weekly_facts(r.positive, r.stores, CATEGORY), MEASURES)
 
 
 TOP = """
@@ -271,7 +272,7 @@ def store_profile(r: Retail):
     "GROUP BY 1) l ON l.internal_store_id = p.pdv",
 ))
 def store_profile_full(r: Retail):
-    full = profile.store_profile_full(r.sales, r.active)
+    full = profile.store_profile_full(r.positive, r.stores)
     text = F.transform("transacted_products", lambda p: F.concat_ws(":", p["product"], p["rows"].cast("string")))
     return steadied(full, MEASURES).withColumn("transacted_products", F.array_join(text, ","))
 
@@ -516,6 +517,51 @@ def store_features_scaled(r: Retail):
     return rounded(profile.scaled_store_features(r.profile), profile.CLUSTER_FEATURES)
 
 
+# ---------------------------------------------------------------- density clustering
+
+# Fixed parameters: with 1,500 stores no group reaches the production size of 100.
+EPSILON, MIN_SIZE = 0.5, 10
+PAIRS = f"pairs AS (SELECT a.pdv, b.pdv AS other, {DISTANCE} AS d FROM scaled a CROSS JOIN scaled b)"
+CORES = (
+    f"cores AS (SELECT pdv, d AS core FROM (SELECT pdv, d, row_number() OVER (PARTITION BY pdv ORDER BY d) AS rn FROM pairs) "
+    f"WHERE rn = {MIN_SIZE})"
+)
+
+
+@query("eps_neighbours", with_views(
+    f"SELECT pdv, COUNT(*) AS neighbours FROM pairs WHERE d <= {EPSILON} GROUP BY 1", PROFILE, PAIRS
+))
+def eps_neighbours(r: Retail):
+    return density.neighbour_counts(r.space, EPSILON)
+
+
+@query("core_distances", with_views(f"SELECT pdv, {grid('core')} FROM cores", PROFILE, PAIRS, CORES))
+def core_distances(r: Retail):
+    return rounded(density.store_core_distances(r.space, MIN_SIZE), ["core"])
+
+
+@query("reachability_mst")
+def reachability_mst(r: Retail):
+    return density.spanning_tree(r.hierarchy(MIN_SIZE))
+
+
+@query("density_components", with_views(
+    "SELECT c.pdv, COALESCE(m.component, c.pdv) AS component, c.core <= 0.5 AS is_core FROM cores c LEFT JOIN ("
+    "SELECT pdv, MIN(other) AS component FROM reach GROUP BY 1) m ON m.pdv = c.pdv",
+    PROFILE, PAIRS, CORES,
+    f"near AS (SELECT p.pdv, p.other FROM pairs p JOIN cores a ON a.pdv = p.pdv JOIN cores b ON b.pdv = p.other "
+    f"WHERE greatest(d, a.core, b.core) <= {EPSILON})",
+    "reach AS (SELECT pdv, other FROM near UNION SELECT r.pdv, n.other FROM reach r JOIN near n ON n.pdv = r.other)",
+))
+def density_components(r: Retail):
+    return density.density_components(r.hierarchy(MIN_SIZE), EPSILON)
+
+
+@query("store_clusters")
+def store_clusters(r: Retail):
+    return r.clustered(MIN_SIZE, EPSILON)
+
+
 # ---------------------------------------------------------------- models and metrics
 
 @query("train_features_scaled", with_views(
@@ -607,6 +653,73 @@ def metric_medae(r: Retail):
     return steadied(metrics.median_absolute_error(naive_errors(r)), ["medae"])
 
 
+# ---------------------------------------------------------------- fitted models
+
+HURDLE = forecast.HurdleSettings(threshold=THRESHOLD)
+LAST = 52
+
+
+def clustered_windows(r: Retail, last_weeks: Sequence[int]) -> DataFrame:
+    attributes = weekly.store_attributes(r.clustered(MIN_SIZE, EPSILON))
+    return cut(windows.store_windows(weekly.store_weeks(r.positive), attributes, last_weeks=last_weeks))
+
+
+def fitted(r: Retail) -> tuple[forecast.HurdleModel, DataFrame]:
+    """The hurdle model of the last week and its training frame, once per session."""
+    def build():
+        frame = clustered_windows(r, [LAST])
+        train = cut(windows.training_frame(frame, LAST))
+        return forecast.fit_hurdle(train, windows.feature_columns(frame), TARGETS, HURDLE), train
+    return r.once("fitted", build)
+
+
+@query("forecast_regressor")
+def forecast_regressor(r: Retail):
+    model, train = fitted(r)
+    return model.components(train, (STORE,)).select(STORE, *[f"amount_{h}" for h in range(HORIZON)])
+
+
+@query("sale_probability")
+def sale_probability(r: Retail):
+    model, train = fitted(r)
+    return model.components(train, (STORE,)).select(STORE, *[f"chance_{h}" for h in range(HORIZON)])
+
+
+@query("hurdle_forecast")
+def hurdle_forecast(r: Retail):
+    model, train = fitted(r)
+    return model.predict(train)
+
+
+@query("forecast_next_weeks")
+def forecast_next_weeks(r: Retail):
+    return forecast.forecast_next_weeks(clustered_windows(r, [LAST]), [LAST], settings=HURDLE)
+
+
+@query("backtest")
+def backtest(r: Retail):
+    return forecast.backtest(clustered_windows(r, [LAST - HORIZON, LAST]), [LAST], settings=HURDLE)
+
+
+# Two trials and folds on the first horizon: the search itself, at the smallest useful size.
+@query("tune_regressor")
+def tune_regressor(r: Retail):
+    frame = clustered_windows(r, [LAST])
+    space = {**tuning.REGRESSOR_SPACE, "trees": tuning.Range(20, 40, whole=True)}
+    return tuning.tune_regressor(
+        windows.training_frame(frame, LAST), windows.feature_columns(frame), TARGETS[:1], space, trials=2, folds=2
+    )
+
+
+@query("tune_classifier")
+def tune_classifier(r: Retail):
+    frame = clustered_windows(r, [LAST])
+    space = {**tuning.CLASSIFIER_SPACE, "trees": tuning.Range(20, 40, whole=True), "depth": tuning.Range(2, 4, whole=True)}
+    return tuning.tune_classifier(
+        windows.training_frame(frame, LAST), windows.feature_columns(frame), TARGETS[:1], space, trials=2, folds=2
+    )
+
+
 # ---------------------------------------------------------------- allocation
 
 ALLOCATE_SQL = with_views(
@@ -620,7 +733,7 @@ ALLOCATE_SQL = with_views(
 
 @query("allocate", ALLOCATE_SQL)
 def allocate(r: Retail):
-    return alloc.allocate(r.naive(), r.brand_shares, r.active)
+    return alloc.allocate(r.naive(), r.brand_shares, r.stores)
 
 
 @query("csv_roundtrip", ALLOCATE_SQL)
@@ -628,3 +741,12 @@ def csv_roundtrip(r: Retail):
     path = scratch_path(r.spark, "plan")
     tables.write_plan(allocate(r), path)
     return tables.read_plan_csv(r.spark, path)
+
+
+@query("forecast_plan")
+def forecast_plan(r: Retail):
+    """Complete run with fitted models; brands as products."""
+    settings = weekly_plan.PlanSettings(MIN_SIZE, EPSILON, seed=SEED, hurdle=HURDLE)
+    brands = r.sku.select(F.col("produto").alias(PRODUCT), F.col("subcategoria").alias("brand"))
+    transactions = r.transactions.join(brands, PRODUCT).withColumn(PRODUCT, F.col("brand")).drop("brand")
+    return weekly_plan.plan(transactions, r.stores, settings)

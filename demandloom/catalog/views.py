@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.operators import bandit, forecast, prepare, profile, weekly, windows
+from demandloom.operators import bandit, density, forecast, prepare, profile, weekly, windows
 from demandloom.schema import CATEGORY, PRODUCT, STORE
+from demandloom.session import cut
 
 # The product of allocation queries is the brand: with thousands of products per category
 # every share of a store's weekly volume floors to zero.
 SEED = 42
 
 
+# Materialised steps that several queries of one session start from.
+_STEPS: dict[tuple, object] = {}
+
+
 @dataclass
 class Retail:
     """Lazy frames that most queries start from."""
@@ -23,6 +29,13 @@ class Retail:
     spark: SparkSession
     folder: str
 
+    def once(self, name: str, build: Callable):
+        """A materialised step, built once per session and folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _STEPS:
+            _STEPS[key] = build()
+        return _STEPS[key]
+
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -81,16 +94,19 @@ class Retail:
         brands = self.sku.select(F.col("produto").alias(PRODUCT), F.col("subcategoria").alias("brand"))
         return self.positive.join(brands, PRODUCT).withColumn(PRODUCT, F.col("brand")).drop("brand")
 
+    # Facts, windows and profiles are joined with the stores after aggregation; that inner
+    # join keeps known stores only, so raw sales need no semi join before it.
+
     @cached_property
     def facts(self) -> DataFrame:
-        return weekly.weekly_facts(self.sales, self.active)
+        return weekly.weekly_facts(self.positive, self.stores)
 
     @cached_property
     def attributes(self) -> DataFrame:
-        return weekly.store_attributes(self.active)
+        return weekly.store_attributes(self.stores)
 
     def windows(self, **options) -> DataFrame:
-        return windows.store_windows(weekly.store_weeks(self.sales), self.attributes, **options)
+        return windows.store_windows(weekly.store_weeks(self.positive), self.attributes, **options)
 
     @cached_property
     def arms(self) -> DataFrame:
@@ -102,7 +118,20 @@ class Retail:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return profile.store_profile(self.sales, self.active)
+        return profile.store_profile(self.positive, self.stores)
+
+    @property
+    def space(self) -> density.Space:
+        return self.once("space", lambda: density.index_points(profile.scaled_store_features(self.profile)))
+
+    def hierarchy(self, size: int) -> density.Hierarchy:
+        return self.once(f"hierarchy{size}", lambda: density.build_hierarchy(self.space, size, size))
+
+    def clustered(self, size: int, epsilon: float) -> DataFrame:
+        def build():
+            labels = density.leaf_clusters(self.hierarchy(size), size, epsilon)
+            return cut(density.with_clusters(self.stores, labels))
+        return self.once(f"clusters{size}:{epsilon}", build)
 
     def naive(self, **options) -> DataFrame:
         return forecast.naive_forecast(self.windows(last_weeks=[52]), **options)

@@ -50,7 +50,7 @@ class HurdleSettings:
     classifier: TreeSettings | None = CLASSIFIER
     threshold: float = 0.986
     seed: int = 411
-    parallel_fits: int = 5
+    parallel_fits: int = 10
 
     def __post_init__(self):
         if not 0 < self.threshold <= 1:
@@ -174,7 +174,7 @@ def tree_regressor(settings: TreeSettings, target: str, seed: int) -> GBTRegress
     return GBTRegressor(
         featuresCol="numbers", labelCol=target, maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
         featureSubsetStrategy=_subset(settings.features), maxBins=settings.bins, minInstancesPerNode=settings.min_rows,
-        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed, cacheNodeIds=True,
+        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
         maxMemoryInMB=1024,
     )
 
@@ -183,7 +183,7 @@ def tree_classifier(settings: TreeSettings, target: str, seed: int) -> GBTClassi
     return GBTClassifier(
         featuresCol="mixed", labelCol=target, maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
         featureSubsetStrategy=_subset(settings.features), maxBins=settings.bins, minInstancesPerNode=settings.min_rows,
-        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed, cacheNodeIds=True,
+        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
         maxMemoryInMB=1024,
     )
 

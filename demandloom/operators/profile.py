@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions.columns import premise_contains_on, repair_zip
 from demandloom.schema import CATEGORY, MEASURES, PRODUCT, STORE
+from demandloom.session import cut
 
 # "transaction_rows" and "transaction_count" are the same number on purpose: the row count
 # enters the distance twice. Pass a shorter list to weigh it once.
@@ -91,16 +92,22 @@ def scaler_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def apply_scaler(df: DataFrame, statistics: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Standardise with statistics that may come from another frame (fit, then score).
 
-    The one-row statistics enter as a scalar subquery, so there is no join at all.
+    The one-row statistics enter as one scalar subquery, so there is no join at all.
     """
-    fitted = statistics.scalar()
-    return df.withColumns({
-        c: (F.col(c) - fitted.getField(f"mean_{c}")) / fitted.getField(f"std_{c}") for c in columns
-    })
+    kept = df.columns
+    fitted = df.withColumn("scaler", statistics.scalar())
+    return fitted.withColumns({
+        c: (F.col(c) - F.col(f"scaler.mean_{c}")) / F.col(f"scaler.std_{c}") for c in columns
+    }).select(*kept)
 
 
 def scaled_store_features(profile: DataFrame, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
-    """Ordinal zip, then every feature standardised; the store id passes through."""
+    """Ordinal zip, then every feature standardised; the store id passes through.
+
+    The profile (one row per store) is materialised first: codes and statistics read it
+    again, and must not go back to the sales.
+    """
+    profile = cut(profile.select("pdv", *features))
     coded = with_zip_ordinal(profile) if "zipcode" in features else profile
     kept = coded.select("pdv", *[F.col(c).cast("double").alias(c) for c in features])
     return apply_scaler(kept, scaler_statistics(kept, features), features)

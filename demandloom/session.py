@@ -18,6 +18,7 @@ def local_session(cpus: str = "8", app: str = "demandloom") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -48,6 +49,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and forget its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table in the shared folder and forget its lineage.
+
+    Executors can be lost without recomputing anything before this point. Unlike a
+    checkpoint the rows are computed once, stay columnar, and tell the optimizer their
+    true size, so a small result is broadcast and a large one is not.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
