@@ -172,14 +172,13 @@ HORIZON_LIST = ", ".join(f"column_{h}" for h in range(HORIZON))
 
 @query("forecast_right_join", with_views(
     f"SELECT f.internal_store_id AS pdv, s.internal_product_id, {stable('s.share', 'share')}, {HORIZON_LIST} "
-    "FROM (SELECT pdv, internal_product_id, share FROM stores JOIN shares USING (categoria_pdv) WHERE share >= 0.05) s "
+    "FROM (SELECT pdv, internal_product_id, share FROM stores JOIN shares USING (categoria_pdv)) s "
     "RIGHT JOIN naive f ON f.internal_store_id = s.pdv",
     FACTS, windowed(["quantity"]), NAIVE, BRAND_BANDIT,
 ))
 def forecast_right_join(r: Retail):
-    shares = r.brand_shares.where(F.col("share") >= 0.05)
     joined = alloc.right_join_forecasts(
-        bandit.store_product_shares(shares, r.stores).drop(CATEGORY), r.naive()
+        bandit.store_product_shares(r.brand_shares, r.stores).drop(CATEGORY), r.naive()
     )
     return steadied(joined, ["share"])
 

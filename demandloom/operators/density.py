@@ -71,7 +71,7 @@ def neighbour_counts(s: Space, epsilon: float) -> DataFrame:
     own = s.points.groupBy("leaf").applyInPandas(lambda p: count(p, p), "id long, n long")
     queries = _crossing(s, "reach0", s.points.withColumn("reach0", F.lit(float(epsilon))))
     parts = own if queries is None else own.unionByName(
-        space.visit(queries, s.points.select("leaf", "x", "weight"), count, "id long, n long")
+        space.visit(cut(queries), s.points.select("leaf", "x", "weight"), count, "id long, n long")
     )
     totals = parts.groupBy("id").agg(F.sum("n").alias("neighbours"))
     return s.members.join(totals, "id").drop("id")

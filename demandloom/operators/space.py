@@ -159,6 +159,7 @@ def visit(queries: DataFrame, points: DataFrame, compare: Callable[[pd.DataFrame
 
     Queries to a leaf are dealt into chunks of about ``chunk`` rows and the leaf's points
     are copied to each, so a leaf that many points ask for is worked on by many tasks.
+    ``queries`` should be materialised; they are read twice.
     """
     counts = queries.groupBy("target").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     dealt = queries.join(counts, "target").withColumn(
