@@ -473,9 +473,11 @@ def bandit_last_draw_params(r: Retail):
     return bandit.last_draw_parameters(r.arms)
 
 
-@query("bandit_draw", with_views("SELECT * FROM drawn", PRODUCT_BANDIT))
+@query("bandit_draw", with_views(
+    f"SELECT categoria_pdv, internal_product_id, {stable('probability', 'probability')} FROM drawn", PRODUCT_BANDIT
+))
 def bandit_draw(r: Retail):
-    return bandit.draw(r.arms, SEED)
+    return steadied(bandit.draw(r.arms, SEED), ["probability"])
 
 
 @query("bandit_trajectory", with_views(
@@ -493,10 +495,11 @@ def bandit_trajectory(r: Retail):
 
 
 @query("category_shares", with_views(
-    f"SELECT categoria_pdv, internal_product_id, probability, {stable('share', 'share')} FROM shares", PRODUCT_BANDIT
+    f"SELECT categoria_pdv, internal_product_id, {stable('probability', 'probability')}, {stable('share', 'share')} FROM shares",
+    PRODUCT_BANDIT,
 ))
 def category_shares(r: Retail):
-    return steadied(bandit.category_shares(bandit.draw(r.arms, SEED)), ["share"])
+    return steadied(bandit.category_shares(bandit.draw(r.arms, SEED)), ["probability", "share"])
 
 
 # ---------------------------------------------------------------- store features

@@ -51,16 +51,16 @@ params AS (
          CASE WHEN n > 0 THEN 1 + last_week - n END AS b
   FROM arm_weeks),
 uniforms AS (
-  SELECT categoria_pdv, internal_product_id, a,
-         CAST(('0x' || substr(md5('42:' || categoria_pdv || '|' || internal_product_id || ':' || i), 1, 13)) AS BIGINT)
-           / 4503599627370496.0 AS u
-  FROM (SELECT *, UNNEST(range(1, a + b)) AS i FROM params WHERE a IS NOT NULL)),
+  SELECT categoria_pdv, internal_product_id, a, b, i,
+         (CAST(('0x' || substr(md5('42:' || categoria_pdv || '|' || internal_product_id || ':' || i), 1, 13)) AS BIGINT)
+           + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM (SELECT *, UNNEST(range(0, least(a, b))) AS i FROM params WHERE a IS NOT NULL)),
 drawn AS (
-  SELECT p.categoria_pdv, p.internal_product_id, COALESCE(d.u, 0.0) AS probability
+  SELECT p.categoria_pdv, p.internal_product_id,
+         CASE WHEN d.x IS NULL THEN 0.0::DOUBLE WHEN p.b < p.a THEN d.x ELSE 1 - d.x END AS probability
   FROM params p LEFT JOIN (
-    SELECT categoria_pdv, internal_product_id, u FROM (
-      SELECT *, row_number() OVER (PARTITION BY categoria_pdv, internal_product_id ORDER BY u) AS rn FROM uniforms)
-    WHERE rn = a) d USING (categoria_pdv, internal_product_id)),
+    SELECT categoria_pdv, internal_product_id, exp(SUM(ln(u) / (a + b - 1 - i))) AS x FROM uniforms GROUP BY 1, 2
+  ) d USING (categoria_pdv, internal_product_id)),
 shares AS (
   SELECT categoria_pdv, internal_product_id, probability,
          CASE WHEN SUM(probability) OVER (PARTITION BY categoria_pdv) > 0

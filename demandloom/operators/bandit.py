@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from demandloom.functions.columns import week_of
 from demandloom.functions.random import keyed_beta
 from demandloom.schema import CATEGORY, PRODUCT, STORE, WEEKS
+from demandloom.session import cut
 
 # Store keys up to this many rows (tens of MB) are sent to every executor.
 BROADCAST_ROWS = 500_000
@@ -97,8 +98,9 @@ def category_shares(drawn: DataFrame) -> DataFrame:
     """Probability as share of its category; null where a category sums to 0.
 
     Totals are aggregated and joined back. A window per category would pull all products
-    of a category into one task.
+    of a category into one task. The draws are materialised, because both sides need them.
     """
+    drawn = cut(drawn)
     totals = drawn.groupBy(CATEGORY).agg(F.sum("probability").alias("total"))
     return drawn.join(totals, CATEGORY).select(
         CATEGORY, PRODUCT, "probability", F.try_divide("probability", "total").alias("share")
