@@ -316,7 +316,7 @@ def dense_calendar(r: Retail):
     ) + " AS quantity FROM windows", FACTS, windowed(["quantity"]),
 ))
 def sliding_windows(r: Retail):
-    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, ("quantity",)), columns=("quantity",))
+    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, ("quantity",), products=False), columns=("quantity",))
     return windows.sliding_windows(arrays, measures=("quantity",)).withColumn(
         "quantity", F.array_join(F.col("quantity").cast("array<bigint>").cast("array<string>"), ",")
     )
@@ -327,7 +327,7 @@ WIDE = ("quantity", "net_value", "product_diversity")
 
 @query("window_features", with_views("SELECT * FROM windows", FACTS, windowed(WIDE)))
 def window_features(r: Retail):
-    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales), columns=WIDE)
+    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, WIDE[:2]), columns=WIDE)
     frame = windows.window_features(arrays, measures=WIDE)
     return rounded(frame, [c for c in frame.columns if c[-2:].isdigit()])
 
@@ -357,7 +357,7 @@ def window_slice_week(r: Retail):
     FACTS, windowed(["quantity"]),
 ))
 def train_targets(r: Retail):
-    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales), columns=("quantity",))
+    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, ("quantity",), products=False), columns=("quantity",))
     return windows.train_targets(windows.window_features(arrays, measures=("quantity",)))
 
 
@@ -383,20 +383,20 @@ def numbered_columns(df: DataFrame) -> list[str]:
 
 @query("select_feature_block", feature_sql(lambda k: k))
 def select_feature_block(r: Retail):
-    frame = r.windows(last_weeks=[52])
+    frame = r.windows(FEATURE_MEASURES, last_weeks=[52])
     block = frame.select(STORE, *windows.feature_columns(frame, FEATURE_NAMES))
     return rounded(block, numbered_columns(block))
 
 
 @query("scoring_features", feature_sql(lambda k: k + 5))
 def scoring_features(r: Retail):
-    block = windows.scoring_frame(r.windows(last_weeks=[52]), features=FEATURE_NAMES)
+    block = windows.scoring_frame(r.windows(FEATURE_MEASURES, last_weeks=[52]), features=FEATURE_NAMES)
     return rounded(block, numbered_columns(block))
 
 
 @query("scoring_features_compat", feature_sql(lambda k: k + 5 if k <= 5 else k))
 def scoring_features_compat(r: Retail):
-    block = windows.scoring_frame(r.windows(last_weeks=[52]), features=FEATURE_NAMES, mode="compat")
+    block = windows.scoring_frame(r.windows(FEATURE_MEASURES, last_weeks=[52]), features=FEATURE_NAMES, mode="compat")
     return rounded(block, numbered_columns(block))
 
 
@@ -574,7 +574,7 @@ def store_clusters(r: Retail):
     FACTS, windowed(["quantity", "net_value"]),
 ))
 def train_features_scaled(r: Retail):
-    frame = r.windows(last_weeks=[52])
+    frame = r.windows(("quantity", "net_value"), last_weeks=[52])
     names = windows.feature_columns(frame, ("quantity", "net_value"))
     fitted = profile.scaler_statistics(windows.training_frame(frame, 52, features=("quantity", "net_value")), names)
     scored = windows.scoring_frame(frame, 52, features=("quantity", "net_value"))
@@ -589,7 +589,7 @@ TARGETS = windows.target_columns()
     + " FROM windows WHERE week = 52", FACTS, windowed(["quantity"]),
 ))
 def binary_targets(r: Retail):
-    return forecast.binary_targets(r.windows(last_weeks=[52]), TARGETS)
+    return forecast.binary_targets(r.windows(("quantity",), last_weeks=[52]), TARGETS)
 
 
 # Chances of a sale for gate tests: sold weeks among the last four lags before each horizon.
@@ -611,7 +611,7 @@ def hurdle_gate(r: Retail):
     def chance(h: int) -> Column:
         return sum((F.col(numbered("quantity", LAGS + h - i)) > 0).cast("double") for i in range(4)) / 4
 
-    frame = r.windows(last_weeks=[52]).select(
+    frame = r.windows(("quantity",), last_weeks=[52]).select(
         STORE, *[chance(h).alias(f"chance_{h}") for h in range(HORIZON)],
         *[F.col(t).alias(f"amount_{h}") for h, t in enumerate(TARGETS)],
     )
@@ -624,7 +624,7 @@ def hurdle_gate(r: Retail):
 
 def naive_errors(r: Retail) -> DataFrame:
     """The five weeks before the targets, used as their forecast."""
-    frame = r.windows(last_weeks=[52])
+    frame = r.windows(("quantity",), last_weeks=[52])
     guesses = [numbered("quantity", LAGS - HORIZON + 1 + h) for h in range(HORIZON)]
     return metrics.long_errors(frame, TARGETS, guesses)
 
@@ -663,7 +663,7 @@ LAST = 52
 
 def clustered_windows(r: Retail, last_weeks: Sequence[int]) -> DataFrame:
     attributes = weekly.store_attributes(r.clustered(MIN_SIZE, EPSILON))
-    return cut(windows.store_windows(weekly.store_weeks(r.positive), attributes, last_weeks=last_weeks))
+    return cut(windows.store_windows(r.positive, attributes, windows.windowed_measures(), last_weeks=last_weeks))
 
 
 def fitted(r: Retail) -> tuple[forecast.HurdleModel, DataFrame]:

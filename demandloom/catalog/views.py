@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -105,8 +105,8 @@ class Retail:
     def attributes(self) -> DataFrame:
         return weekly.store_attributes(self.stores)
 
-    def windows(self, **options) -> DataFrame:
-        return windows.store_windows(weekly.store_weeks(self.positive), self.attributes, **options)
+    def windows(self, measures: Sequence[str], **options) -> DataFrame:
+        return windows.store_windows(self.positive, self.attributes, measures, **options)
 
     @cached_property
     def arms(self) -> DataFrame:
@@ -134,4 +134,4 @@ class Retail:
         return self.once(f"clusters{size}:{epsilon}", build)
 
     def naive(self, **options) -> DataFrame:
-        return forecast.naive_forecast(self.windows(last_weeks=[52]), **options)
+        return forecast.naive_forecast(self.windows(("quantity",), last_weeks=[52]), **options)

@@ -34,13 +34,19 @@ def product_weeks(sales: DataFrame, measures: Sequence[str] = MEASURES) -> DataF
     )
 
 
-def store_weeks(sales: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
-    """Sales per (store, week): measure sums, product counts, most bought product."""
+def store_weeks(sales: DataFrame, measures: Sequence[str] = MEASURES, products: bool = True) -> DataFrame:
+    """Sales per (store, week): measure sums and, with ``products``, counts and top product.
+
+    Without the product columns the sums combine on the map side and shuffle once.
+    """
+    sums = [F.coalesce(F.sum(m), F.lit(0.0)).alias(m) for m in measures]
+    if not products:
+        return sales.groupBy(STORE, week_of(F.col("transaction_date")).alias("week")).agg(*sums)
     return product_weeks(sales, measures).groupBy(STORE, "week").agg(
         F.sum("rows").alias("product_rows"),
         F.count("*").alias("product_diversity"),
         most_frequent("rows", PRODUCT).alias("most_bought_product"),
-        *[F.coalesce(F.sum(m), F.lit(0.0)).alias(m) for m in measures],
+        *sums,
     )
 
 

@@ -8,14 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import columns_with_prefix
-from demandloom.operators.weekly import weekly_arrays
-from demandloom.schema import HORIZON, LAGS, STORE, WEEKS, WINDOWED, numbered
+from demandloom.operators.weekly import store_weeks, weekly_arrays
+from demandloom.schema import HORIZON, LAGS, MEASURES, STORE, WEEKS, WINDOWED, numbered
 
 # Default model features. "cluster" and "premise" are whole columns, the rest lag blocks.
 FEATURES = ("quantity", "cluster", "net_value", "gross_profit", "premise")
 ATTRIBUTES = ("cluster", "premise")
 
 
+def window_ends(length: int, last_weeks: Sequence[int] | None = None) -> Sequence[int]:
+    """Last weeks of all full windows, or the asked ones after a check."""
+    ends = range(length, WEEKS + 1) if last_weeks is None else last_weeks
+    bad = [w for w in ends if not length <= w <= WEEKS]
+    if bad:
+        raise ValueError(f"no full window of {length} weeks ends at {bad}")
+    return ends
+
+
 def sliding_windows(
     arrays: DataFrame,
     key: str = STORE,
@@ -27,10 +36,7 @@ def sliding_windows(
 
     Only the requested windows are generated; none of them needs another shuffle.
     """
-    ends = range(length, WEEKS + 1) if last_weeks is None else last_weeks
-    bad = [w for w in ends if not length <= w <= WEEKS]
-    if bad:
-        raise ValueError(f"no full window of {length} weeks ends at {bad}")
+    ends = window_ends(length, last_weeks)
     others = [c for c in arrays.columns if c not in (key, "weeks")]
     return (
         arrays.select(key, *others, "weeks", F.explode(F.array(*[F.lit(w) for w in ends])).alias("week"))
@@ -54,10 +60,7 @@ def window_features(
     window, where a week without sales counts as 0; otherwise the caller joins them.
     """
     length = lags + horizon
-    ends = range(length, WEEKS + 1) if last_weeks is None else last_weeks
-    bad = [w for w in ends if not length <= w <= WEEKS]
-    if bad:
-        raise ValueError(f"no full window of {length} weeks ends at {bad}")
+    ends = window_ends(length, last_weeks)
     week_fields = arrays.schema["weeks"].dataType.elementType.fieldNames()
     firsts = [c for c in ATTRIBUTES if attributes_at_start and c in week_fields]
     others = [c for c in arrays.columns if c not in (key, "weeks", *firsts)]
@@ -73,10 +76,20 @@ def window_features(
     )
 
 
-def store_windows(facts: DataFrame, attributes: DataFrame, key: str = STORE, **options) -> DataFrame:
-    """Window features with the static store attributes, joined once per store."""
-    arrays = weekly_arrays(facts, key).join(attributes, key)
-    return window_features(arrays, key, **options)
+def windowed_measures(features: Sequence[str] = FEATURES) -> list[str]:
+    """The measures whose windows a feature list needs."""
+    return [m for m in WINDOWED if m in features]
+
+
+def store_windows(sales: DataFrame, attributes: DataFrame, measures: Sequence[str] = WINDOWED, **options) -> DataFrame:
+    """Window features from sales, with the static attributes joined once per store.
+
+    Only the asked measures are aggregated; product counts are formed only if asked.
+    """
+    sums = [m for m in measures if m in MEASURES]
+    facts = store_weeks(sales, sums, products=len(sums) < len(measures))
+    arrays = weekly_arrays(facts, STORE, measures).join(attributes, STORE)
+    return window_features(arrays, measures=measures, **options)
 
 
 def target_columns(lags: int = LAGS, horizon: int = HORIZON) -> list[str]:

@@ -45,7 +45,7 @@ def test_metrics(spark):
 def frame(spark, folder):
     from demandloom.session import cut
 
-    return cut(Retail(spark, folder).windows(last_weeks=[42, 47, 52]))
+    return cut(Retail(spark, folder).windows(("quantity", "net_value"), last_weeks=[42, 47, 52]))
 
 
 def test_forecast(frame):

@@ -128,7 +128,7 @@ def ramp(spark):
 
 
 def test_forty_windows(ramp):
-    frame = windows.store_windows(weekly.store_weeks(ramp[0]), weekly.store_attributes(ramp[1]))
+    frame = windows.store_windows(ramp[0], weekly.store_attributes(ramp[1]))
     assert frame.count() == 40
     last = frame.where("week = 52").first()
     assert [last[f"quantity{k:02d}"] for k in range(1, 14)] == [float(w) for w in range(40, 53)]
@@ -136,7 +136,7 @@ def test_forty_windows(ramp):
 
 
 def test_scoring_lags(ramp):
-    frame = windows.store_windows(weekly.store_weeks(ramp[0]), weekly.store_attributes(ramp[1]), last_weeks=[52])
+    frame = windows.store_windows(ramp[0], weekly.store_attributes(ramp[1]), last_weeks=[52])
     lags = lambda mode: [int(windows.scoring_frame(frame, mode=mode).first()[f"quantity{k:02d}"]) for k in range(1, 9)]
     assert lags("contiguous") == [45, 46, 47, 48, 49, 50, 51, 52]
     assert lags("compat") == [45, 46, 47, 48, 49, 45, 46, 47]
@@ -145,7 +145,7 @@ def test_scoring_lags(ramp):
 
 
 def test_feature_rules(ramp):
-    frame = windows.store_windows(weekly.store_weeks(ramp[0]), weekly.store_attributes(ramp[1]), last_weeks=[52])
+    frame = windows.store_windows(ramp[0], weekly.store_attributes(ramp[1]), last_weeks=[52])
     assert len(windows.feature_columns(frame)) == 26
     with pytest.raises(ValueError):
         windows.feature_columns(frame, ("net_value",))
@@ -164,7 +164,7 @@ def test_attributes_at_window_start(spark):
 
 
 def test_sold_week_plans_do_not_use_python_or_products(ramp):
-    frame = windows.store_windows(weekly.store_weeks(ramp[0]), weekly.store_attributes(ramp[1]))
+    frame = windows.store_windows(ramp[0], weekly.store_attributes(ramp[1]))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoop", "Window"):
         assert bad not in plan
