@@ -56,6 +56,22 @@ def test_forecast(frame):
         forecast.forecast_next_weeks(frame, [51, 52], features=NAMES, settings=QUICK)
 
 
+def test_forecast_by_category(spark, folder):
+    from demandloom.operators import weekly
+    from demandloom.schema import CATEGORY
+    from demandloom.session import cut
+
+    r = Retail(spark, folder)
+    facts = weekly.weekly_facts(r.positive, r.stores, CATEGORY)
+    arrays = weekly.weekly_arrays(facts, CATEGORY, ("quantity", "net_value"))
+    by_category = cut(windows.window_features(
+        arrays, CATEGORY, measures=("quantity", "net_value"), last_weeks=[52], attributes_at_start=True
+    ))
+    out = forecast.forecast_next_weeks(by_category, [52], CATEGORY, NAMES, QUICK)
+    assert out.columns[0] == CATEGORY and out.count() == 5
+    assert out.where("column_0 > 0").count() > 0
+
+
 def test_one_class_horizon_and_regressor_only(frame):
     names = windows.feature_columns(frame, NAMES)
     train = windows.training_frame(frame, 52, features=NAMES).withColumn("quantity09", F.lit(4.0))
