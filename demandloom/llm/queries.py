@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import ngram_join
+from demandloom.llm import embedding_join, ngram_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +30,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return ngram_join.near_duplicates(docs, ngram_join.Similarity(4, 85, 100)).drop("class_id")
+
+
+@query("op3_embedding_near_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_join.near_embeddings(table(spark, folder, "embeddings"), 0.98)
