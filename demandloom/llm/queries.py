@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import embedding_join, ngram_join
+from demandloom.llm import binary_tokens, embedding_join, ngram_join
+from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +37,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_embedding_near_dedup")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_join.near_embeddings(table(spark, folder, "embeddings"), 0.98)
+
+
+@query("op6_token_id_binary_output")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "token-files")
+    counts = binary_tokens.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return binary_tokens.read(spark, path, counts, keep_ids=False).drop("ids")
