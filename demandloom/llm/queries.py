@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, embedding_join, ngram_join
+from demandloom.llm import binary_tokens, embedding_join, ngram_join, quality_crf
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     counts = binary_tokens.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return binary_tokens.read(spark, path, counts, keep_ids=False).drop("ids")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = quality_crf.remainder("doc_id", 4) == 2
+    model = quality_crf.fit(docs, table(spark, folder, "labels"), held_out)
+    return quality_crf.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality_crf.THRESHOLD).cast("int").alias("predicted"),
+    )
