@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.llm import text as tx
 
@@ -249,7 +250,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with a column ``score`` after them, replacing one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("score")
-    kind = docs.schema.add("score", "double")
+    kind = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for batch, texts in tx.slices(batches):
