@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, embedding_join, ngram_join, quality_crf
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= quality_crf.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
