@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, secrets
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_benchmark_decontamination")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_secret_scans")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.where(F.col("probability") >= secrets.CUT).select(
+        "doc_id", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability")
