@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, secrets
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, secrets, token_counts
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
     return found.where(F.col("probability") >= secrets.CUT).select(
         "doc_id", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability")
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("score", F.round("score", 6))

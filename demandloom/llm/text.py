@@ -88,8 +88,8 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw, ends - ends[0])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Batches cut where their texts reach ``SLICE_BYTES``."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Batches cut where their texts reach ``limit`` bytes."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -97,7 +97,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         at, total = 0, np.cumsum(sizes)
         while at < batch.num_rows:
             before = total[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(total, before + SLICE_BYTES, "right")))
+            end = max(at + 1, int(np.searchsorted(total, before + limit, "right")))
             part = batch.slice(at, end - at)
             yield part, texts_of(part.column(column))
             at = end
