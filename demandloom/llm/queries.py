@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, secrets, token_counts
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, sampled_pieces, secrets, token_counts
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("score", F.round("score", 6))
+
+
+@query("op9_sentencepiece_sampling")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sampled_pieces.encode_samples(table(spark, folder, "documents"), model, k=2)
+    return sampled_pieces.decode(encoded, model).select(
+        "doc_id", "sample", "n_pieces", F.round("log_prob", 6).alias("log_prob"), F.round("inclusion", 9).alias("inclusion"), "ids_crc32",
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
