@@ -11,10 +11,11 @@ set with no more than ``spare`` light blocks still has an equal block that is no
 use all of theirs. Bands with over ``MAX_BLOCKS`` blocks use the first ``MAX_BLOCKS`` of them: a pair at the threshold keeps
 each block with probability over 0.37, so all 128 miss with probability below 2**-64, less than that of a hash collision.
 
-Keys shared by several sets give candidates. They are tested against the key's hubs only, pairs that are in one component
-already are not tested, and hubs leave the key when tested; this goes on until no key joins different components, so no
-link that matters for a component is lost and pairs within a group are never listed. A short sketch of 256 bits, whose
-Hamming distance never exceeds the number of differing elements, discards candidates before sets are compared.
+Keys shared by several sets give candidates. A first turn tests every set against its smallest candidate, which joins most of
+every group. Keys that still join different components are then searched completely for pairs of different components that
+a short sketch of 256 bits allows, as its Hamming distance never exceeds the number of differing elements; only such pairs
+are sent on and compared as sets. Keys with more than ``SMALL_GROUP`` sets are tested against a few hubs a turn instead, which
+leave the key when tested, until none is left. So no link that matters for a component is lost.
 
 Contract: null and empty texts and texts without words have an empty set and link with nothing. Texts with fewer words
 than the n-gram size have one element, the whole sequence. Equal sets are one class whatever their number. Rows with a null
@@ -37,6 +38,8 @@ from demandloom.session import cut
 
 MAX_BLOCKS = 128
 HUBS = 4
+SMALL_GROUP = 2048
+SKETCH = ("s0", "s1", "s2", "s3")
 BROADCAST_IDS = 500_000
 
 
@@ -263,36 +266,67 @@ def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarit
     few = ids.count() <= BROADCAST_IDS
     wanted = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
     sets = cut(wanted.mapInArrow(set_writer(rule), "doc_id long, set binary").dropDuplicates(["doc_id"]))
-    info = cut(members.join(ids, "doc_id", "left_semi").select("doc_id", "n", "s0", "s1", "s2", "s3").dropDuplicates(["doc_id"]))
-    links = None
-    comp = ids.select("doc_id", F.col("doc_id").alias("comp"))
+    info = cut(members.join(ids, "doc_id", "left_semi").select("doc_id", "n", *SKETCH).dropDuplicates(["doc_id"]))
+    # First one hub per document, its smallest candidate, which joins most of every group.
+    first = live.groupBy("key").agg(F.min("doc_id").alias("b"))
+    pairs = live.join(first, "key").where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
+    links = _verified(pairs, info, sets, rule)
     turn = 0
     while True:
+        comp = _labels(ids, links)
         labelled = live.join(comp, "doc_id")
-        at = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * HUBS + h)).alias("o"), "doc_id", "comp")).alias(f"h{h}")
-              for h in range(HUBS if turn else 1)]
-        if not turn:
-            at = [F.min(F.struct(F.lit(0).alias("o"), "doc_id", "comp")).alias("h0")]
-        hubs = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *at).where("low < high")
-        hubs = hubs.select("key", F.array(*[f"h{h}" for h in range(len(at))]).alias("hubs"))
-        live = cut(labelled.join(hubs, "key"))
-        if live.isEmpty():
-            break
-        pairs = live.select("doc_id", "comp", F.explode("hubs").alias("hub")).where("comp <> hub.comp")
-        pairs = pairs.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
-        if not turn:
-            # the first turn tries one hub per document, which joins most of every group
-            pairs = pairs.groupBy("a").agg(F.min("b").alias("b"))
-        good = _verified(pairs.distinct(), info, sets, rule)
-        links = good if links is None else cut(links.union(good))
-        if turn:
-            live = live.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id")))
-        live = live.select("key", "doc_id")
-        found = components(links)
-        comp = cut(ids.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                   .select("doc_id", F.coalesce("component", "doc_id").alias("comp")))
+        hubs = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * HUBS + h)).alias("o"), "doc_id", "comp")).alias(f"h{h}") for h in range(HUBS)]
+        mixed = labelled.groupBy("key").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("k"), *hubs).where("low < high")
+        mixed = mixed.select("key", "k", F.array(*[f"h{h}" for h in range(HUBS)]).alias("hubs"))
+        live = cut(labelled.join(mixed, "key"))
+        large = live.where(F.col("k") > SMALL_GROUP)
+        small = live.where(F.col("k") <= SMALL_GROUP).select("key", "doc_id", "comp").join(info, "doc_id")
+        order = ["key", "comp", "doc_id"]
+        found = small.select(*order, "n", *SKETCH).repartition("key").sortWithinPartitions(*order).mapInArrow(
+            _close_in_group(rule), "a long, b long")
+        star = large.select("doc_id", "comp", F.explode("hubs").alias("hub")).where("comp <> hub.comp")
+        star = star.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
+        links = cut(links.union(_verified(found.union(star).distinct(), info, sets, rule)))
+        if large.isEmpty():
+            return links
+        live = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
         turn += 1
-    return links if links is not None else ids.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+
+
+def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links).withColumnRenamed("node", "doc_id")
+    return cut(ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")))
+
+
+def _close_in_group(rule: Similarity):
+    """Pairs of one key and different components whose sizes and short sketches allow a link. Rows come sorted by key."""
+    def pairs(d, comp, n, sketch):
+        for at in range(0, len(d), 256):
+            own = slice(at, at + 256)
+            total = n[own, None] + n[None, at:]
+            apart = sum(np.bitwise_count(sketch[own, None, j] ^ sketch[None, at:, j]).astype(np.int64) for j in range(4))
+            good = (comp[own, None] < comp[None, at:]) & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total)
+            low = np.minimum(n[own, None], n[None, at:])
+            i, j = np.nonzero(good & (low * rule.q >= (total - low) * rule.p))
+            x, y = d[at + i], d[at + j]
+            yield tx.batch_of(VERIFIED, np.maximum(x, y), np.minimum(x, y))
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in ("key", "doc_id", "comp", "n", *SKETCH)]
+            held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
+            if not len(held[0]):
+                continue
+            edges = np.flatnonzero(np.diff(held[0])) + 1
+            for i, j in zip([0, *edges[:-1]], edges):
+                yield from pairs(*[c[i:j] for c in held[1:4]], np.stack([c[i:j] for c in held[4:]], 1).view(np.uint64))
+            if len(edges):
+                held = [c[edges[-1]:] for c in held]
+        if held is not None and len(held[0]):
+            yield from pairs(*held[1:4], np.stack(held[4:], 1).view(np.uint64))
+    return run
 
 
 def _verified(pairs: DataFrame, info: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
