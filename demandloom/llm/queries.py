@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, ngram_join, quality_crf, sampled_pieces, secrets, token_counts
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, token_counts
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return sampled_pieces.decode(encoded, model).select(
         "doc_id", "sample", "n_pieces", F.round("log_prob", 6).alias("log_prob"), F.round("inclusion", 9).alias("inclusion"), "ids_crc32",
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(quality_crf.remainder("doc_id", 10) == 0, F.lit(False))
+    return maxent_lm.lm_scores(docs.withColumn("held_out", held_out))
