@@ -246,14 +246,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out=None, limit: int = TRAIN_DO
     return train(parts)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with a column ``score`` after them, replacing one of that name."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All columns of ``docs`` with a column ``name`` after them, replacing one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("score")
-    kind = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    docs = docs.drop(name)
+    kind = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
         for batch, texts in tx.slices(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts))], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts))], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, kind)
