@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, token_counts
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, substring_dedup, token_counts
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.coalesce(quality_crf.remainder("doc_id", 10) == 0, F.lit(False))
     return maxent_lm.lm_scores(docs.withColumn("held_out", held_out))
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, folder, "documents"))
