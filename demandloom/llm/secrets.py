@@ -148,11 +148,11 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel | None = None
     secrets = scan(docs, model).where(F.col("probability") >= CUT)
     # grouped by document: no more than one text holds
     hidden = secrets.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(-F.length("value"), "value"))).alias("found"))
-    hidden = hidden.select(F.col("doc_id").alias("own"), F.col("found.value").alias("found"))
-    joined = docs.join(hidden, F.col("doc_id").eqNullSafe(F.col("own")), "left")
-    clean = F.aggregate("found", F.col("text"), lambda text, s: F.replace(text, s, F.lit(HIDDEN)))
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(clean)
-    changed = {"text": text}
+    own, found = (next(n for n in (base + "_" * i for i in range(99)) if n not in docs.columns) for base in ("own", "found"))
+    hidden = hidden.select(F.col("doc_id").alias(own), F.col("found.value").alias(found))
+    joined = docs.join(hidden, F.col("doc_id").eqNullSafe(F.col(own)), "left")
+    clean = F.aggregate(found, F.col("text"), lambda text, s: F.replace(text, s, F.lit(HIDDEN)))
+    changed = {"text": F.when(F.col(found).isNull(), F.col("text")).otherwise(clean)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("found").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
+        changed["n_chars"] = F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
     return joined.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
