@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom import schema
 from demandloom.catalog.sql import (
-    BRAND_BANDIT, DISTANCE, FACTS, PRODUCT_BANDIT, PROFILE, grid, stable, windowed, with_views,
+    BRAND_BANDIT, DISTANCE, FACTS, PRODUCT_BANDIT, PROFILE, grid, lagged, stable, windowed, with_views,
 )
 from demandloom.catalog.views import SEED, Retail
 from demandloom.functions import columns as cols
@@ -56,40 +56,44 @@ def steadied(df: DataFrame, names: Sequence[str]) -> DataFrame:
 TRANSACTION_COLUMNS = schema.TRANSACTIONS.fieldNames()
 
 
-@query("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("scan_parquet", with_views(f"SELECT {', '.join(TRANSACTION_COLUMNS)}, premise, categoria_pdv, zipcode, descricao, categoria, subcategoria "
+                                  "FROM sales JOIN active ON pdv = internal_store_id JOIN sku ON produto = internal_product_id"))
 def scan_parquet(r: Retail):
-    contract = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
-    return tables.read_table(r.spark, f"{r.folder}/orders.parquet", contract)
+    """The three tables written, scanned by their contracts, and joined so that every column shows."""
+    paths = {n: scratch_path(r.spark, n) for n in ("sku", "transactions", "stores")}
+    for n, path in paths.items():
+        tables.write_parquet(getattr(r, n), path)
+    sku, sales, stores = tables.scan_tables(r.spark, **paths)
+    return sales.join(stores.withColumnRenamed("pdv", STORE), STORE).join(sku.withColumnRenamed("produto", PRODUCT), PRODUCT).select(
+        *TRANSACTION_COLUMNS, "premise", CATEGORY, "zipcode", "descricao", "categoria", "subcategoria")
 
 
 @query("parquet_roundtrip", with_views(
-    "SELECT internal_store_id, internal_product_id, distributor_id, transaction_date, quantity, gross_value FROM transactions"
+    f"SELECT {', '.join(TRANSACTION_COLUMNS)} FROM transactions"
 ))
 def parquet_roundtrip(r: Retail):
     path = scratch_path(r.spark, "transactions")
     tables.write_parquet(r.transactions.select(*TRANSACTION_COLUMNS), path)
-    return tables.read_transactions(r.spark, path).select(
-        STORE, PRODUCT, "distributor_id", "transaction_date", "quantity", "gross_value"
-    )
+    return tables.read_transactions(r.spark, path)
 
 
 @query("table_summary", with_views(
     "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{c}' column_name, COUNT({c}) n, COUNT(*) - COUNT({c}) nulls, {stable(f'AVG({c})', 'mean')}, "
-        f"CAST(MIN({c}) AS DOUBLE) min, CAST(MAX({c}) AS DOUBLE) max, "
+        f"SELECT '{c}' column_name, COUNT({c}) n, COUNT(*) - COUNT({c}) nulls, {stable(f'AVG({c})', 'mean')}, {stable(f'STDDEV({c})', 'std')}, "
+        f"round(CAST(MIN({c}) AS DOUBLE), 6) min, round(CAST(MAX({c}) AS DOUBLE), 6) max, "
         f"CAST(NULL AS VARCHAR) min_text, CAST(NULL AS VARCHAR) max_text FROM transactions"
-        for c in ("quantity", "gross_value", "distributor_id")
+        for c in (*MEASURES, "distributor_id")
     ) + " UNION ALL " + " UNION ALL ".join(
-        f"SELECT '{c}', COUNT({c}), COUNT(*) - COUNT({c}), NULL, NULL, NULL, CAST(MIN({c}) AS VARCHAR), "
+        f"SELECT '{c}', COUNT({c}), COUNT(*) - COUNT({c}), NULL, NULL, NULL, NULL, CAST(MIN({c}) AS VARCHAR), "
         f"CAST(MAX({c}) AS VARCHAR) FROM transactions"
         for c in (STORE, PRODUCT, "transaction_date", "reference_date")
     ) + ")"
 ))
 def table_summary(r: Retail):
-    summary = quality.table_summary(r.transactions.select(
-        "quantity", "gross_value", "distributor_id", STORE, PRODUCT, "transaction_date", "reference_date"
-    ))
-    return steadied(summary, ["mean"]).select("column_name", "n", "nulls", "mean", "min", "max", "min_text", "max_text")
+    """All columns; the approximate quartiles are left out of the comparison."""
+    summary = quality.table_summary(r.transactions)
+    return steadied(rounded(summary, ["min", "max"]), ["mean", "std"]).select(
+        "column_name", "n", "nulls", "mean", "std", "min", "max", "min_text", "max_text")
 
 
 @query("key_violations", with_views(
@@ -311,36 +315,31 @@ def dense_calendar(r: Retail):
 
 
 @query("sliding_windows", with_views(
-    "SELECT internal_store_id, week, " + " || ',' || ".join(
-        f"CAST(CAST(quantity{k:02d} AS BIGINT) AS VARCHAR)" for k in range(1, 14)
-    ) + " AS quantity FROM windows", FACTS, windowed(["quantity"]),
+    "SELECT internal_store_id, week, " + ", ".join(" || ',' || ".join(
+        f"CAST(CAST(round({m}{k:02d} * 1e6) AS BIGINT) AS VARCHAR)" for k in range(1, 14)) + f" AS {m}" for m in WINDOWED
+    ) + " FROM windows", FACTS, windowed(WINDOWED),
 ))
 def sliding_windows(r: Retail):
-    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, ("quantity",), products=False), columns=("quantity",))
-    return windows.sliding_windows(arrays, measures=("quantity",)).withColumn(
-        "quantity", F.array_join(F.col("quantity").cast("array<bigint>").cast("array<string>"), ",")
-    )
+    """Values in millionths, as text."""
+    frame = windows.sliding_windows(weekly.weekly_arrays(weekly.store_weeks(r.sales)))
+    return frame.withColumns({m: F.array_join(F.transform(m, lambda v: F.round(v * 1e6).cast("bigint").cast("string")), ",") for m in WINDOWED})
 
 
-WIDE = ("quantity", "net_value", "product_diversity")
-
-
-@query("window_features", with_views("SELECT * FROM windows", FACTS, windowed(WIDE)))
+@query("window_features", with_views("SELECT * FROM windows", FACTS, windowed(WINDOWED)))
 def window_features(r: Retail):
-    arrays = weekly.weekly_arrays(weekly.store_weeks(r.sales, WIDE[:2]), columns=WIDE)
-    frame = windows.window_features(arrays, measures=WIDE)
+    frame = windows.window_features(weekly.weekly_arrays(weekly.store_weeks(r.sales)))
     return rounded(frame, [c for c in frame.columns if c[-2:].isdigit()])
 
 
 @query("window_features_compat", with_views(
-    f"SELECT * FROM (SELECT internal_store_id, week, {', '.join(f'LAG(quantity, {13 - k}) OVER w AS quantity{k:02d}' for k in range(1, 14))}, "
+    f"SELECT * FROM (SELECT internal_store_id, week, {lagged(WINDOWED)}, "
     "CASE WHEN LAG(sold, 12) OVER w AND premise = 'On Premise' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS premise "
     "FROM calendar JOIN active ON pdv = internal_store_id WINDOW w AS (PARTITION BY internal_store_id ORDER BY week)) "
     "WHERE week >= 13", FACTS,
 ))
 def window_features_compat(r: Retail):
-    arrays = weekly.weekly_arrays(r.facts, columns=("quantity",))
-    return windows.window_features(arrays, measures=("quantity",), attributes_at_start=True)
+    frame = windows.window_features(weekly.weekly_arrays(r.facts), attributes_at_start=True)
+    return rounded(frame, numbered_columns(frame))
 
 
 @query("window_slice_week", with_views(
@@ -362,7 +361,8 @@ def train_targets(r: Retail):
 
 
 FEATURE_MEASURES = ("quantity", "net_value", "gross_profit")
-FEATURE_NAMES = ("quantity", "net_value", "gross_profit", "premise")
+# Groups of zip codes stand in for the density clusters, which SQL cannot number.
+GROUP_SQL = "(zipcode - 8100) // 5"
 
 
 def feature_sql(source: Callable[[int], int], week: int = 52) -> str:
@@ -371,7 +371,7 @@ def feature_sql(source: Callable[[int], int], week: int = 52) -> str:
         f"{m}{source(k):02d} AS {m}{k:02d}" for m in FEATURE_MEASURES for k in range(1, LAGS + 1)
     )
     return with_views(
-        f"SELECT internal_store_id, {picked}, CAST(premise = 'On Premise' AS INTEGER) AS premise "
+        f"SELECT internal_store_id, {picked}, CAST({GROUP_SQL} AS INTEGER) AS cluster, CAST(premise = 'On Premise' AS INTEGER) AS premise "
         f"FROM windows JOIN active ON pdv = internal_store_id WHERE week = {week}",
         FACTS, windowed(FEATURE_MEASURES),
     )
@@ -383,20 +383,20 @@ def numbered_columns(df: DataFrame) -> list[str]:
 
 @query("select_feature_block", feature_sql(lambda k: k))
 def select_feature_block(r: Retail):
-    frame = r.windows(FEATURE_MEASURES, last_weeks=[52])
-    block = frame.select(STORE, *windows.feature_columns(frame, FEATURE_NAMES))
+    frame = r.grouped_windows([52])
+    block = frame.select(STORE, *windows.feature_columns(frame))
     return rounded(block, numbered_columns(block))
 
 
 @query("scoring_features", feature_sql(lambda k: k + 5))
 def scoring_features(r: Retail):
-    block = windows.scoring_frame(r.windows(FEATURE_MEASURES, last_weeks=[52]), features=FEATURE_NAMES)
+    block = windows.scoring_frame(r.grouped_windows([52]))
     return rounded(block, numbered_columns(block))
 
 
 @query("scoring_features_compat", feature_sql(lambda k: k + 5 if k <= 5 else k))
 def scoring_features_compat(r: Retail):
-    block = windows.scoring_frame(r.windows(FEATURE_MEASURES, last_weeks=[52]), features=FEATURE_NAMES, mode="compat")
+    block = windows.scoring_frame(r.grouped_windows([52]), mode="compat")
     return rounded(block, numbered_columns(block))
 
 
@@ -569,15 +569,18 @@ def store_clusters(r: Retail):
 @query("train_features_scaled", with_views(
     "SELECT internal_store_id, " + ", ".join(
         f"round(({m}{k + 5:02d} - AVG({m}{k:02d}) OVER ()) / STDDEV_POP({m}{k:02d}) OVER (), 6) AS {m}{k:02d}"
-        for m in ("quantity", "net_value") for k in range(1, LAGS + 1)
-    ) + " FROM windows WHERE week = 52",
-    FACTS, windowed(["quantity", "net_value"]),
+        for m in FEATURE_MEASURES for k in range(1, LAGS + 1)
+    ) + ", " + ", ".join(
+        f"round(({e} - AVG({e}) OVER ()) / STDDEV_POP({e}) OVER (), 6) AS {n}"
+        for n, e in (("cluster", GROUP_SQL), ("premise", "CAST(premise = 'On Premise' AS INTEGER)"))
+    ) + " FROM windows JOIN active ON pdv = internal_store_id WHERE week = 52",
+    FACTS, windowed(FEATURE_MEASURES),
 ))
 def train_features_scaled(r: Retail):
-    frame = r.windows(("quantity", "net_value"), last_weeks=[52])
-    names = windows.feature_columns(frame, ("quantity", "net_value"))
-    fitted = profile.scaler_statistics(windows.training_frame(frame, 52, features=("quantity", "net_value")), names)
-    scored = windows.scoring_frame(frame, 52, features=("quantity", "net_value"))
+    frame = r.grouped_windows([52])
+    names = windows.feature_columns(frame)
+    fitted = profile.scaler_statistics(windows.training_frame(frame, 52), names)
+    scored = windows.scoring_frame(frame, 52)
     return rounded(profile.apply_scaler(scored, fitted, names), names)
 
 
@@ -698,9 +701,53 @@ def forecast_next_weeks(r: Retail):
     return forecast.forecast_next_weeks(clustered_windows(r, [LAST]), [LAST], settings=HURDLE)
 
 
+# Origins of the rolling backtest.
+ORIGINS = (42, 47, 52)
+
+
 @query("backtest")
 def backtest(r: Retail):
-    return forecast.backtest(clustered_windows(r, [LAST - HORIZON, LAST]), [LAST], settings=HURDLE)
+    weeks = sorted({w - d for w in ORIGINS for d in (0, HORIZON)})
+    return forecast.backtest(clustered_windows(r, weeks), ORIGINS, settings=HURDLE)
+
+
+@query("backtest_naive", with_views(
+    "SELECT week, model, horizon, " + stable("mae", "mae") + ", " + stable("mape1", "mape1") + ", all_zero FROM ("
+    "SELECT week, model, CAST(horizon AS VARCHAR) AS horizon, mae, mape1, p = 0 AS all_zero FROM per_horizon UNION ALL "
+    "SELECT week, model, 'mean', AVG(mae), AVG(mape1), SUM(p) = 0 FROM per_horizon GROUP BY 1, 2)",
+    FACTS, windowed(["quantity"]),
+    "errors AS (" + " UNION ALL ".join(
+        f"SELECT week, '{model}' AS model, {h + 1} AS horizon, quantity{LAGS + 1 + h:02d} AS y, {p} AS p FROM windows WHERE week IN {ORIGINS}"
+        for h in range(HORIZON) for model, p in (("naive", f"quantity{LAGS - HORIZON + 1 + h:02d}"), ("zero", "0.0::DOUBLE"))
+    ) + "), per_horizon AS (SELECT week, model, horizon, AVG(abs(y - p)) AS mae, AVG(abs(y - p) / greatest(y, 1.0)) AS mape1, "
+    "SUM(p) AS p FROM errors GROUP BY 1, 2, 3)",
+))
+def backtest_naive(r: Retail):
+    """The yardsticks of the backtest at every origin: the weeks before, and nothing."""
+    frame = r.windows(("quantity",), last_weeks=list(ORIGINS))
+    return steadied(forecast.yardsticks(frame, TARGETS, ("week",)), ["mae", "mape1"])
+
+
+@query("plan_stores", with_views("SELECT pdv AS internal_store_id FROM active"))
+def plan_stores(r: Retail):
+    """Stores with a forecast: all that ever sold."""
+    model, _ = fitted(r)
+    return model.predict(windows.scoring_frame(clustered_windows(r, [LAST]), LAST)).select(STORE)
+
+
+@query("calendar_null_fill", with_views(
+    "SELECT c.categoria_pdv, CAST(w.week AS INTEGER) AS week, " + stable("COALESCE(quantity, 0)", "quantity") + ", "
+    + stable("COALESCE(net_value, 0)", "net_value") + " FROM (SELECT DISTINCT categoria_pdv FROM nulled) c "
+    "CROSS JOIN (SELECT UNNEST(range(1, 53)) AS week) w LEFT JOIN nulled n ON n.categoria_pdv = c.categoria_pdv AND n.week = w.week",
+    "nulled AS (SELECT categoria_pdv, wk AS week, AVG(quantity) AS quantity, AVG(CASE WHEN wk % 2 = 1 THEN net_value END) AS net_value "
+    "FROM sales JOIN active ON pdv = internal_store_id GROUP BY 1, 2)",
+))
+def calendar_null_fill(r: Retail):
+    """A calendar in which one measure is null in all sales of every second week."""
+    even = cols.week_of(F.col("transaction_date")) % 2 == 0
+    sales = r.positive.withColumn("net_value", F.when(~even, F.col("net_value")))
+    facts = weekly.weekly_facts(sales, r.stores, CATEGORY)
+    return steadied(weekly.dense_calendar(facts, CATEGORY, ("quantity", "net_value")), ["quantity", "net_value"])
 
 
 # Two trials and folds on the first horizon: the search itself, at the smallest useful size.

@@ -108,6 +108,12 @@ class Retail:
     def windows(self, measures: Sequence[str], **options) -> DataFrame:
         return windows.store_windows(self.positive, self.attributes, measures, **options)
 
+    def grouped_windows(self, last_weeks: Sequence[int]) -> DataFrame:
+        """Windows of all default features, with groups of zip codes as clusters."""
+        grouped = self.stores.withColumn("cluster", ((F.col("zipcode") - 8100) / 5).cast("int"))
+        return windows.store_windows(
+            self.positive, weekly.store_attributes(grouped), windows.windowed_measures(), last_weeks=last_weeks)
+
     @cached_property
     def arms(self) -> DataFrame:
         return bandit.arm_weeks(self.positive, self.stores)

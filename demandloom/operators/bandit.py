@@ -22,7 +22,7 @@ def week_mask(week: Column) -> Column:
 
 
 def arm_weeks(sales: DataFrame, stores: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Weeks in which each (category, product) sold, as a bit mask.
+    """Weeks in which each (category, product) sold, as a bit mask; from sales or ``sale_lines``.
 
     The mask makes "distinct weeks" a plain OR, which combines on the map side. While the
     counted store table is small it is broadcast and raw sales are never shuffled. Beyond
@@ -30,7 +30,8 @@ def arm_weeks(sales: DataFrame, stores: DataFrame, broadcast_rows: int = BROADCA
     those meet the stores.
     """
     categories = stores.select(F.col("pdv").alias(STORE), CATEGORY)
-    lines = sales.select(STORE, PRODUCT, week_mask(week_of(F.col("transaction_date"))).alias("mask"))
+    week = week_of(F.col("transaction_date")) if "transaction_date" in sales.columns else F.col("week")
+    lines = sales.select(STORE, PRODUCT, week_mask(week).alias("mask"))
     if categories.limit(broadcast_rows + 1).count() <= broadcast_rows:
         joined = lines.join(F.broadcast(categories), STORE)
     else:

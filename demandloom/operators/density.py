@@ -24,6 +24,7 @@ from demandloom.operators.profile import CLUSTER_FEATURES
 from demandloom.operators.space import distances, matrix
 from demandloom.session import cut
 
+UNPLACED = -2
 NOISE = -1
 EDGE = ("w", "i", "j")
 
@@ -461,7 +462,12 @@ def with_clusters(stores: DataFrame, labels: DataFrame) -> DataFrame:
 def store_clusters(stores: DataFrame, scaled: DataFrame, min_size: int = 100, epsilon: float = 0.5,
                    neighbours: int | None = None, features: Sequence[str] = CLUSTER_FEATURES,
                    leaf_points: int = space.LEAF_POINTS) -> DataFrame:
-    """The whole clustering in one call."""
-    s = index_points(scaled, features, leaf_points=leaf_points)
+    """The whole clustering in one call.
+
+    Stores with a missing feature (no zip) have no place among the others; they share the label ``UNPLACED``. Only
+    stores without sales, which have no features at all, keep null.
+    """
+    s = index_points(scaled.dropna(subset=list(features)), features, leaf_points=leaf_points)
     h = build_hierarchy(s, neighbours or min_size, min_size)
-    return with_clusters(stores, leaf_clusters(h, min_size, epsilon))
+    missing = scaled.where(F.greatest(*[F.col(c).isNull() for c in features])).select("pdv", F.lit(UNPLACED).alias("cluster"))
+    return with_clusters(stores, leaf_clusters(h, min_size, epsilon).unionByName(missing))

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
@@ -37,6 +37,7 @@ class TreeSettings:
     min_rows: int = 1
     min_gain: float = 0.0
     subsample: float = 1.0
+    held_out: float = 0.0
 
 
 # Fixed values of the two boosted models.
@@ -145,14 +146,10 @@ class HurdleModel:
         return gate(parts, chances, amounts, outputs, self.threshold, keep)
 
 
-def _assembler(frame: DataFrame, features: Sequence[str], bins: int) -> Pipeline:
-    """Vectors for both models: scaled numbers, and for the classifier raw categories.
-
-    Cluster and premise become categories as long as they fit the classifier's bins.
-    """
-    present = [c for c in CATEGORICAL if c in features]
-    sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in present]).first() if present else {}
-    categories = [c for c in present if sizes[c] < bins - 2]
+def _assembler(features: Sequence[str]) -> Pipeline:
+    """Vectors for both models: scaled numbers, and for the classifier cluster and premise as categories, however many
+    values they have (see ``category_bins``)."""
+    categories = [c for c in CATEGORICAL if c in features]
     indexers = [
         StringIndexer(inputCol=c, outputCol=f"index_{c}", handleInvalid="keep", stringOrderType="alphabetAsc")
         for c in categories
@@ -166,6 +163,11 @@ def _assembler(frame: DataFrame, features: Sequence[str], bins: int) -> Pipeline
     ])
 
 
+def category_bins(assembler) -> int:
+    """Bins that the fitted categories need: their values and the one for unknown values."""
+    return max((len(s.labels) + 1 for s in assembler.stages if isinstance(s, StringIndexerModel)), default=2)
+
+
 def _subset(share: float) -> str:
     return "all" if share >= 1 else str(share)
 
@@ -179,13 +181,20 @@ def tree_regressor(settings: TreeSettings, target: str, seed: int) -> GBTRegress
     )
 
 
-def tree_classifier(settings: TreeSettings, target: str, seed: int) -> GBTClassifier:
-    return GBTClassifier(
+def tree_classifier(settings: TreeSettings, target: str, seed: int, least_bins: int = 2) -> GBTClassifier:
+    """With ``held_out`` set, rows marked by a column ``held`` stop the boosting when their loss no longer falls."""
+    model = GBTClassifier(
         featuresCol="mixed", labelCol=target, maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        featureSubsetStrategy=_subset(settings.features), maxBins=settings.bins, minInstancesPerNode=settings.min_rows,
-        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
+        featureSubsetStrategy=_subset(settings.features), maxBins=max(settings.bins, least_bins),
+        minInstancesPerNode=settings.min_rows, minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
         maxMemoryInMB=1024,
     )
+    return model.setValidationIndicatorCol("held") if settings.held_out > 0 else model
+
+
+def held_rows(share: float, columns: Sequence[str]) -> Column:
+    """Rows kept from learning, chosen by a hash of their values."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1000)) < int(1000 * share)
 
 
 def fit_hurdle(frame: DataFrame, features: Sequence[str], targets: Sequence[str],
@@ -197,11 +206,12 @@ def fit_hurdle(frame: DataFrame, features: Sequence[str], targets: Sequence[str]
     """
     features, targets = list(features), list(targets)
     scaler = fit_scaler(frame, features)
-    bins = settings.classifier.bins if settings.classifier else 32
     prepared = frame.select("*", *_scaled(features, scaler))
-    assembler = _assembler(frame, features, bins).fit(prepared)
+    assembler = _assembler(features).fit(prepared)
+    bins = category_bins(assembler)
+    held = held_rows(settings.classifier.held_out if settings.classifier else 0.0, [STORE] if STORE in frame.columns else features)
     ready = assembler.transform(prepared).select(
-        "numbers", "mixed", *[F.col(t).cast("double").alias(t) for t in targets],
+        "numbers", "mixed", held.alias("held"), *[F.col(t).cast("double").alias(t) for t in targets],
         *[(F.col(t) > 0).cast("double").alias(f"sold_{t}") for t in targets],
     )
     ready = ready.persist()
@@ -215,7 +225,7 @@ def fit_hurdle(frame: DataFrame, features: Sequence[str], targets: Sequence[str]
                 if rates[t] in (0.0, 1.0):
                     jobs.append(lambda t=t: float(rates[t]))
                 else:
-                    jobs.append(lambda t=t: tree_classifier(settings.classifier, f"sold_{t}", settings.seed).fit(ready))
+                    jobs.append(lambda t=t: tree_classifier(settings.classifier, f"sold_{t}", settings.seed, bins).fit(ready))
         with ThreadPoolExecutor(settings.parallel_fits) as pool:
             models = list(pool.map(lambda job: job(), jobs))
     finally:
@@ -241,8 +251,38 @@ def forecast_next_weeks(
     return model.predict(scoring_frame(windows, week, key, features, mode=mode), (key,))
 
 
+def _error_rows(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(model, horizon, mae, mape1, all_zero) of rows (model, horizon, y, prediction), with a mean over horizons."""
+    per_horizon = cells.groupBy(*by, "model", "horizon").agg(
+        F.avg(metrics.absolute_error()).alias("mae"), F.avg(metrics.relative_error()).alias("mape1"),
+        F.sum("prediction").alias("predicted"),
+    )
+    rows = per_horizon.groupBy(*by, "model").agg(
+        F.collect_list(F.struct(F.col("horizon").cast("string").alias("horizon"), "mae", "mape1", "predicted")).alias("rows"),
+        F.struct(F.lit(metrics.MEAN).alias("horizon"), F.avg("mae").alias("mae"), F.avg("mape1").alias("mape1"),
+                 F.sum("predicted").alias("predicted")).alias("mean"),
+    )  # one row a horizon
+    return rows.select(*by, "model", F.inline(F.concat("rows", F.array("mean")))).select(
+        *by, "model", "horizon", "mae", "mape1", (F.col("predicted") == 0).alias("all_zero"))
+
+
+def _cells(frame: DataFrame, models: dict[str, Sequence[Column]], targets: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per (row, model, horizon) with actual and predicted value, in one pass over ``frame``."""
+    return frame.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.lit(h + 1).alias("horizon"), F.col(t).cast("double").alias("y"), p.cast("double").alias("prediction"))
+        for name, predictions in models.items() for h, (t, p) in enumerate(zip(targets, predictions, strict=True))
+    ])))
+
+
+def yardsticks(frame: DataFrame, targets: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Error rows of two forecasts without a model: the weeks just before the targets, and nothing."""
+    first = LAGS - len(targets) + 1
+    naive = [F.col(numbered("quantity", first + h)) for h in range(len(targets))]
+    return _error_rows(_cells(frame, {"naive": naive, "zero": [F.lit(0.0)] * len(targets)}, targets, by), by)
+
+
 def score(model: HurdleModel, frame: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """Error rows (model, metric, horizon, value) on one frame, from a single aggregation."""
+    """Error rows (model, horizon, mae, mape1, all_zero) of the model, its regressor and the yardsticks on one frame."""
     horizon = range(len(targets))
     keep = [*targets]
     parts = model.components(frame, keep)
@@ -252,18 +292,8 @@ def score(model: HurdleModel, frame: DataFrame, targets: Sequence[str]) -> DataF
         gated = gate(parts, chances, amounts, outputs, model.threshold, (*keep, *amounts))
     else:
         gated = parts.select(*keep, *amounts, *[F.col(a).alias(o) for a, o in zip(amounts, outputs, strict=True)])
-    both = metrics.long_errors(gated, targets, outputs).withColumn("model", F.lit("hurdle")).unionByName(
-        metrics.long_errors(gated, targets, amounts).withColumn("model", F.lit("regressor"))
-    )
-    per_horizon = both.groupBy("model", "horizon").agg(
-        F.avg(metrics.absolute_error()).alias("mae"), F.avg(metrics.relative_error()).alias("mape1"),
-        F.sum("prediction").alias("predicted"),
-    )
-    totals = per_horizon.groupBy("model").agg(
-        F.avg("mae").alias("mae"), F.avg("mape1").alias("mape1"), F.sum("predicted").alias("predicted")
-    ).select("model", F.lit(metrics.MEAN).alias("horizon"), "mae", "mape1", "predicted")
-    return per_horizon.select("model", F.col("horizon").cast("string"), "mae", "mape1", "predicted").unionByName(totals) \
-        .select("model", "horizon", "mae", "mape1", (F.col("predicted") == 0).alias("all_zero"))
+    cells = _cells(gated, {"hurdle": [F.col(c) for c in outputs], "regressor": [F.col(c) for c in amounts]}, targets)
+    return _error_rows(cells).unionByName(yardsticks(frame, targets))
 
 
 def backtest(

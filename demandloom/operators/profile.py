@@ -19,12 +19,13 @@ CLUSTER_FEATURES = (
 
 
 def store_profile(sales: DataFrame, stores: DataFrame, with_premise: bool = False) -> DataFrame:
-    """Per selling store: rows, mean quantity and net value, zip, distinct distributors."""
+    """Per selling store: rows, mean quantity and net value, zip, distinct distributors. Takes sales or ``sale_lines``."""
+    if "transaction_date" in sales.columns:
+        rows, means = F.count("*"), [F.avg(m).alias(m) for m in ("quantity", "net_value")]
+    else:
+        rows, means = F.sum("rows"), [F.try_divide(F.sum(m), F.sum(f"n_{m}")).alias(m) for m in ("quantity", "net_value")]
     per_store = sales.groupBy(F.col(STORE).alias("pdv")).agg(
-        F.count("*").alias("transaction_rows"),
-        F.avg("quantity").alias("quantity"),
-        F.avg("net_value").alias("net_value"),
-        F.count_distinct("distributor_id").alias("distributor_count"),
+        rows.alias("transaction_rows"), *means, F.count_distinct("distributor_id").alias("distributor_count"),
     )
     extra = [premise_contains_on(F.col("premise")).alias("premise_dummy")] if with_premise else []
     attributes = stores.select("pdv", repair_zip(F.col("zipcode")).alias("zipcode"), *extra)
@@ -76,9 +77,9 @@ def ordinal_codes(df: DataFrame, column: str, prefix: int = 3) -> DataFrame:
 
 
 def with_zip_ordinal(profile: DataFrame) -> DataFrame:
-    """Replace the zip text by its ordinal code."""
+    """Replace the zip text by its ordinal code; a store without zip stays, with a null code."""
     codes = ordinal_codes(profile, "zipcode")
-    return profile.join(codes, "zipcode").drop("zipcode").withColumnRenamed("code", "zipcode")
+    return profile.join(codes, "zipcode", "left").drop("zipcode").withColumnRenamed("code", "zipcode")
 
 
 def scaler_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:

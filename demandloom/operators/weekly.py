@@ -34,6 +34,28 @@ def product_weeks(sales: DataFrame, measures: Sequence[str] = MEASURES) -> DataF
     )
 
 
+def sale_lines(sales: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """Row counts and sums per (store, week, product, distributor): what profiles, windows and arms of a complete run can
+    all be made of, so that raw sales are read once."""
+    return sales.groupBy(STORE, week_of(F.col("transaction_date")).alias("week"), PRODUCT, "distributor_id").agg(
+        F.count("*").alias("rows"),
+        *[F.count(m).alias(f"n_{m}") for m in measures],
+        *[F.sum(m).alias(m) for m in measures],
+    )
+
+
+def store_weeks_of_lines(lines: DataFrame, measures: Sequence[str], products: bool) -> DataFrame:
+    """``store_weeks`` from ``sale_lines``."""
+    sums = [F.coalesce(F.sum(m), F.lit(0.0)).alias(m) for m in measures]
+    if not products:
+        return lines.groupBy(STORE, "week").agg(*sums)
+    level = lines.groupBy(STORE, "week", PRODUCT).agg(F.sum("rows").alias("rows"), *[F.sum(m).alias(m) for m in measures])
+    return level.groupBy(STORE, "week").agg(
+        F.sum("rows").alias("product_rows"), F.count("*").alias("product_diversity"),
+        most_frequent("rows", PRODUCT).alias("most_bought_product"), *sums,
+    )
+
+
 def store_weeks(sales: DataFrame, measures: Sequence[str] = MEASURES, products: bool = True) -> DataFrame:
     """Sales per (store, week): measure sums and, with ``products``, counts and top product.
 
@@ -128,7 +150,7 @@ def category_product_week_mean(sales: DataFrame, stores: DataFrame) -> DataFrame
 
 
 def weekly_arrays(facts: DataFrame, key: str = STORE, columns: Sequence[str] = WINDOWED) -> DataFrame:
-    """One row per key with ``weeks``: 52 structs in week order, zero where nothing sold.
+    """One row per key with ``weeks``: 52 structs in week order, zero where nothing sold and for measures that are null.
 
     A key has at most 53 weekly facts, so the collected group is bounded, and one shuffle
     on the key replaces a calendar product, a join and a window. Keys whose only sales
@@ -136,7 +158,7 @@ def weekly_arrays(facts: DataFrame, key: str = STORE, columns: Sequence[str] = W
     """
     columns = [*columns, *[c for c in WEEKED_STATICS if c in facts.columns and c not in columns]]
     inside = F.col("week").between(1, WEEKS)
-    values = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
     empty = F.struct(*[F.lit(0.0).alias(c) for c in columns])
     sold = F.map_from_entries(F.collect_list(F.when(inside, F.struct(F.col("week"), values))))
     return facts.groupBy(key).agg(sold.alias("sold")).select(

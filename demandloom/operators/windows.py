@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import columns_with_prefix
-from demandloom.operators.weekly import store_weeks, weekly_arrays
+from demandloom.operators.weekly import store_weeks, store_weeks_of_lines, weekly_arrays
 from demandloom.schema import HORIZON, LAGS, MEASURES, STORE, WEEKS, WINDOWED, numbered
 
 # Default model features. "cluster" and "premise" are whole columns, the rest lag blocks.
@@ -82,12 +82,13 @@ def windowed_measures(features: Sequence[str] = FEATURES) -> list[str]:
 
 
 def store_windows(sales: DataFrame, attributes: DataFrame, measures: Sequence[str] = WINDOWED, **options) -> DataFrame:
-    """Window features from sales, with the static attributes joined once per store.
+    """Window features from sales or ``sale_lines``, with the static attributes joined once per store.
 
     Only the asked measures are aggregated; product counts are formed only if asked.
     """
     sums = [m for m in measures if m in MEASURES]
-    facts = store_weeks(sales, sums, products=len(sums) < len(measures))
+    build = store_weeks if "transaction_date" in sales.columns else store_weeks_of_lines
+    facts = build(sales, sums, products=len(sums) < len(measures))
     arrays = weekly_arrays(facts, STORE, measures).join(attributes, STORE)
     return window_features(arrays, measures=measures, **options)
 

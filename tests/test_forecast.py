@@ -84,7 +84,7 @@ def test_one_class_horizon_and_regressor_only(frame):
 
 def test_backtest(frame):
     table = forecast.backtest(frame, [47, 52], features=NAMES, settings=QUICK)
-    assert table.count() == 2 * 2 * 2 * 6
+    assert table.count() == 2 * 2 * 4 * 6
     assert table.where("mae < 0 OR mae IS NULL").count() == 0
     with pytest.raises(ValueError):
         forecast.backtest(frame, [17], features=NAMES, settings=QUICK)
@@ -101,7 +101,7 @@ def test_search_is_reproducible(frame):
     pick = ("trial", "best", "parameter", "value")
     assert rows(once, *pick) == rows(again, *pick)
     assert once.where("best").select("trial").distinct().count() == 1
-    assert tuning.best_parameters(once).count() == 8
+    assert tuning.best_parameters(once).count() == 9
     other = tuning.tune_classifier(train, names, targets, space, trials=2, folds=2)
     assert other.where("loss < 0 OR loss > 1").count() == 0
 
@@ -123,3 +123,53 @@ def test_complete_run(spark, folder, tmp_path):
     plan = tables.read_plan_csv(spark, str(tmp_path / "out"))
     assert plan.count() > 0 and plan.where("quantidade <= 0").count() == 0
     assert {r[0] for r in plan.select("semana").distinct().collect()} <= {"1", "2", "3", "4", "5"}
+
+
+def test_clusters_are_categories_however_many(frame):
+    for k in (10, 60):
+        grouped = frame.withColumn("cluster", F.pmod(F.xxhash64(STORE), F.lit(k)).cast("int"))
+        names = (*NAMES, "cluster")
+        train = windows.training_frame(grouped, 52, features=names)
+        settings = forecast.HurdleSettings(
+            regressor=QUICK.regressor, classifier=forecast.TreeSettings(2, 2, 0.1, 1.0, bins=16, held_out=0.2), threshold=0.5)
+        model = forecast.fit_hurdle(train, windows.feature_columns(grouped, names), ["quantity09"], settings)
+        assert "index_cluster" in model.assembler.stages[-1].getInputCols()
+        assert forecast.category_bins(model.assembler) == train.select("cluster").distinct().count() + 1
+        assert model.predict(train).count() == 150
+
+
+def test_null_zips_and_measures_reach_the_plan(spark, folder):
+    r = Retail(spark, folder)
+    stores = r.stores.withColumn("zipcode", F.when(F.col("pdv").cast("int") % 10 > 0, F.col("zipcode")))
+    odd = F.col(STORE).cast("int") % 2 == 1
+    sales = r.brand_sales.withColumn("net_value", F.when(~odd, F.col("net_value")))
+    settings = weekly_plan.PlanSettings(min_cluster_size=5, hurdle=QUICK)
+    clustered = weekly_plan.cluster_stores(sales, stores, settings)
+    # without a zip, or without any net value, a store has no place among the others
+    assert clustered.where("cluster IS NULL").count() == 0
+    assert clustered.where("zipcode IS NULL AND cluster = -2").count() == clustered.where("zipcode IS NULL").count() > 0
+    forecasts = weekly_plan.forecast_stores(sales, clustered, settings)
+    assert forecasts.count() == 150
+    assert weekly_plan.plan(sales, stores, settings).count() > 0
+
+
+def test_plan_reads_transactions_once(spark, folder, tmp_path, monkeypatch):
+    from demandloom import schema
+    from demandloom.sources import tables
+
+    r = Retail(spark, folder)
+    tables.write_parquet(r.brand_sales.select(*schema.TRANSACTIONS.fieldNames()), str(tmp_path / "t"))
+    transactions = tables.read_transactions(spark, str(tmp_path / "t"))
+    scans = []
+    original = weekly_plan.cut
+
+    def reads(df):
+        return any("/t/part" in f for f in df.inputFiles())
+
+    def counted(df):
+        scans.append(reads(df))
+        return original(df)
+
+    monkeypatch.setattr(weekly_plan, "cut", counted)
+    out = weekly_plan.plan(transactions, r.stores, weekly_plan.PlanSettings(min_cluster_size=5, hurdle=QUICK))
+    assert scans[0] and not any(scans[1:]) and not reads(out)
