@@ -1,8 +1,10 @@
 """Token ids of a library tokenizer for whole texts, with a memory of text pieces.
 
-A text is split at its spaces. The pre-tokenizer of a byte-level tokenizer always breaks before a space that stands between
-two characters that are not white space, so such pieces are encoded independently and a piece seen before is looked up. Texts
-with other white space around a space are encoded whole by the library. The ids are those of the library in either case.
+A byte-level pre-tokenizer breaks a text at white space and between letters, digits and other signs. A text is cut where
+such a break is certain: before a single ASCII white-space character between two other characters, and between ASCII letters,
+digits and signs (not next to an apostrophe, which may begin a contraction, nor next to characters beyond ASCII that may be white
+space). Pieces are encoded by the library and remembered by hash; the ids of a text are those of its pieces, and equal to those
+the library gives for the whole text. Cuts left out only make pieces longer.
 """
 
 from __future__ import annotations
@@ -11,47 +13,129 @@ import os
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
-MEMORY_PIECES = 400_000
+from demandloom.llm import text as tx
+
+MEMORY_PIECES = 600_000
+
+_KIND = np.full(256, 3, np.uint8)  # 0 white space, 1 letter, 2 digit, 3 sign, 4 apostrophe, 5 beyond ASCII
+_KIND[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = 0
+_KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = 1
+_KIND[ord("0"):ord("9") + 1] = 2
+_KIND[ord("'")] = 4
+_KIND[0x80:] = 5
+# Lead bytes of all characters beyond ASCII that are white space.
+_SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
+
+
+def cuts(texts: tx.Texts) -> np.ndarray:
+    """Byte offsets at which pieces begin, text by text; an empty text has none."""
+    data = texts.data
+    n = len(data)
+    begins = np.zeros(n + 1, bool)
+    if n:
+        kind = _KIND[data]
+        space = kind == 0
+        # characters whose last byte may end beyond-ASCII white space: their lead byte is up to two bytes before
+        lead = np.isin(data, _SPACE_LEADS)
+        near = lead.copy()
+        near[1:] |= lead[:-1]
+        near[2:] |= lead[:-2]
+        solid = ~space & ~near
+        single = np.zeros(n, bool)
+        single[1:-1] = space[1:-1] & solid[:-2] & solid[2:] & (data[1:-1] < 0x1C) | (data[1:-1] == 0x20) & solid[:-2] & solid[2:]
+        begins[:n] |= single
+        plain = (kind >= 1) & (kind <= 3)
+        begins[1:n] |= plain[1:] & plain[:-1] & (kind[1:] != kind[:-1])
+        begins[texts.offsets[:-1]] = True
+    return np.flatnonzero(begins[:n])
+
+
+def byte_letters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: printable ones themselves, the others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class IdEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.width = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.memory: dict[str, bytes] = {}
+        # A special token's own text must not be cut: with such a token around, only white space cuts.
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
+        # Words go to the library's model directly if its pre-tokenizer is the plain byte-level one.
+        plain = Tokenizer(self.library.model)
+        plain.pre_tokenizer = ByteLevel(add_prefix_space=False)
+        probe = " Word's été 12 (x) "
+        self.words = plain.encode(probe, add_special_tokens=False).ids == self.library.encode(probe, add_special_tokens=False).ids
+        self._clear()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _clear(self) -> None:
+        self.memory: dict[int, int] = {}
+        self.ids = np.zeros(1 << 20, self.width)
+        self.begin, self.count = np.zeros(MEMORY_PIECES, np.int64), np.zeros(MEMORY_PIECES, np.int64)
+        self.used = 0
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
         encode = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
-        return [np.array(e.ids, self.width).tobytes() for e in encode(texts, add_special_tokens=False)]
+        return [e.ids for e in encode(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: list[int], pieces: list[str]) -> None:
+        word = [self.words and (p[1:] if p[0] == " " else p).isalpha() for p in pieces]
+        others = iter(self._library([p for p, w in zip(pieces, word) if not w]))
+        model, letters = self.library.model, self.letters
+        for key, piece, w in zip(keys, pieces, word):
+            ids = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))] if w else next(others)
+            at = len(self.memory)
+            if at >= len(self.begin):
+                self.begin, self.count = np.append(self.begin, self.begin * 0), np.append(self.count, self.count * 0)
+            if self.used + len(ids) > len(self.ids):
+                self.ids = np.append(self.ids, np.zeros(len(self.ids) + len(ids), self.width))
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.begin[at], self.count[at] = self.used, len(ids)
+            self.used += len(ids)
+            self.memory[key] = at
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as bytes of type ``width``."""
-        # The first piece of a text has no space before it and is remembered under a key with a mark in front.
-        split = []
-        for t in texts:
-            pieces = t.split(" ")
-            pieces[0] = "\n" + pieces[0]
-            split.append(pieces)
+        texts = list(texts)
+        out: list[bytes] = [b""] * len(texts)
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = np.array(ids, self.width).tobytes()
+        apart = set(whole)
+        usual = [i for i in range(len(texts)) if i not in apart and texts[i]]
+        if not usual:
+            return out
+        column = tx.texts_of(pa.array([texts[i] for i in usual], pa.large_string()))
+        starts = cuts(column)
+        ends = np.append(starts[1:], len(column.data))
+        hashed = tx.hashes(column, tx.Words(starts, ends, starts))
+        distinct, first, index = np.unique(hashed, return_index=True, return_inverse=True)
         if len(self.memory) > MEMORY_PIECES:
-            self.memory.clear()
-        known = self.memory
-        missing = {p for pieces in split for p in pieces if p not in known}
-        odd = {p for p in missing if p[:1] == "\n" and (len(p) > 1 and (p[1].isspace() or p[-1].isspace()))
-               or p[:1] != "\n" and (not p or p[0].isspace() or p[-1].isspace())}
-        odd |= {p for p in missing if p == "\n"}
-        usual = list(missing - odd)
-        known.update(zip(usual, self._library([p[1:] if p[0] == "\n" else " " + p for p in usual])))
-        out = []
-        for pieces in split:
-            if odd and not odd.isdisjoint(pieces):
-                out.append(self._library([" ".join([pieces[0][1:], *pieces[1:]])])[0])
-            else:
-                out.append(b"".join([known[p] for p in pieces]))
+            self._clear()
+        keys = distinct.tolist()
+        place = list(map(self.memory.get, keys))
+        missing = [i for i, p in enumerate(place) if p is None]
+        if missing:
+            raw = column.data.tobytes()
+            at = first[missing]
+            self._learn([keys[i] for i in missing], [raw[i:j].decode() for i, j in zip(starts[at].tolist(), ends[at].tolist())])
+            place = list(map(self.memory.__getitem__, keys))
+        own = np.array(place, np.int64)[index]
+        counts = self.count[own]
+        flat = self.ids[tx.spans(self.begin[own], counts)]
+        bounds = tx.offsets_of(counts)[np.append(np.searchsorted(starts, column.offsets[:-1]), len(starts))]
+        for i, a, b in zip(usual, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = flat[a:b].tobytes()
         return out
 
 
