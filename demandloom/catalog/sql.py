@@ -52,7 +52,7 @@ params AS (
   FROM arm_weeks),
 uniforms AS (
   SELECT categoria_pdv, internal_product_id, a, b, i,
-         (CAST(('0x' || substr(md5('42:' || categoria_pdv || '|' || internal_product_id || ':' || i), 1, 13)) AS BIGINT)
+         (CAST(('0x' || substr(md5('42:' || length(categoria_pdv) || ':' || categoria_pdv || '|' || internal_product_id || ':' || i), 1, 13)) AS BIGINT)
            + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
   FROM (SELECT *, UNNEST(range(0, least(a, b))) AS i FROM params WHERE a IS NOT NULL)),
 drawn AS (

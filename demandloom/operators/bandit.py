@@ -75,7 +75,8 @@ def last_draw_parameters(arms: DataFrame) -> DataFrame:
 
 def draw(arms: DataFrame, seed: int = 42) -> DataFrame:
     """One seeded Beta draw per arm; never sold means probability 0."""
-    key = F.concat_ws("|", CATEGORY, PRODUCT)
+    # the category's length keeps names with a "|" apart
+    key = F.concat(F.length(CATEGORY).cast("string"), F.lit(":"), CATEGORY, F.lit("|"), PRODUCT)
     sampled = keyed_beta(F.col("alpha"), F.col("beta"), seed, key)
     return last_draw_parameters(arms).select(
         CATEGORY, PRODUCT, F.when(F.col("alpha").isNull(), 0.0).otherwise(sampled).alias("probability")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +44,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Paths made within the innermost ``scratch_scope``.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for one intermediate table in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the intermediate tables made inside, once the work that reads them has been written elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom import schema
@@ -23,8 +26,23 @@ def read_stores(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, schema.STORES)
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schema.TRANSACTIONS)
+def read_transactions(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Transactions, on request of the days first..last only.
+
+    The bounds also go to the month of sale, so that a table written by month (``write_transactions``) is pruned to whole
+    folders and any other by Parquet statistics.
+    """
+    rows = read_table(spark, path, schema.TRANSACTIONS)
+    if first is not None:
+        rows = rows.where((F.col("transaction_date") >= F.lit(first)) & (F.col("reference_date") >= F.lit(first.replace(day=1))))
+    if last is not None:
+        rows = rows.where((F.col("transaction_date") <= F.lit(last)) & (F.col("reference_date") <= F.lit(last.replace(day=1))))
+    return rows
+
+
+def write_transactions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Transactions in one folder per month of sale."""
+    write_parquet(df.select(*schema.TRANSACTIONS.fieldNames()), path, mode, "reference_date")
 
 
 def scan_tables(spark: SparkSession, sku: str, transactions: str, stores: str):

@@ -195,3 +195,30 @@ def test_sources(spark, tmp_path, small):
     text = next((tmp_path / "p").glob("part-*.csv")).read_text()
     assert text == "semana;pdv;produto;quantidade\n1;a;x;3\n"
     assert tables.read_plan_csv(spark, str(tmp_path / "p")).collect() == plan.collect()
+
+
+def test_date_bounds_prune_folders(spark, folder, tmp_path):
+    from datetime import date
+
+    from demandloom.catalog.views import Retail
+    from demandloom.sources import tables
+
+    transactions = Retail(spark, folder).transactions
+    tables.write_transactions(transactions, str(tmp_path / "t"))
+    first, last = date(1997, 3, 10), date(1997, 5, 2)
+    some = tables.read_transactions(spark, str(tmp_path / "t"), first, last)
+    assert some.count() == transactions.where(F.col("transaction_date").between(first, last)).count() > 0
+    assert "PartitionFilters: [isnotnull(reference_date" in some._jdf.queryExecution().executedPlan().toString()
+    assert len(some.inputFiles()) >= 1 and some.columns[:3] == transactions.columns[:3]
+
+
+def test_scratch_scope_removes_its_tables(spark):
+    import os
+
+    from demandloom.session import cut, scratch_scope
+
+    with scratch_scope(spark):
+        made = cut(spark.range(3))
+        path = made.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
