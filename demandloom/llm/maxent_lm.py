@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import text as tx
-from demandloom.session import cut
+from demandloom.session import cut, scratch_path
 
 SMOOTH = 0.1
 CLASSES = 32
@@ -47,6 +47,22 @@ CHUNK = pa.schema([
 CHUNK_DDL = "chunk long, doc_id array<long>, held_out array<boolean>, size array<int>, index binary, hash binary, n binary"
 
 
+def planes(values: np.ndarray) -> bytes:
+    """32-bit values byte by byte, all first bytes first: small values leave planes of zeros, which compress away."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def values_of(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _compact(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder with stronger compression."""
+    path = scratch_path(df.sparkSession, "chunks")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tokens(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens with the ends, and the number of each text."""
     words = tx.words_of(texts)
@@ -70,8 +86,8 @@ def _chunks(batches):
         learn = ~np.repeat(np.array(out, bool), size)
         n = np.bincount(index[learn], minlength=len(distinct))
         number += 1
-        return tx.batch_of(CHUNK, [number], [[v for p in parts for v in p[2]]], [out], [size.tolist()], [index.astype(np.uint32).tobytes()],
-                           [distinct.tobytes()], [n.astype(np.uint32).tobytes()])
+        return tx.batch_of(CHUNK, [number], [[v for p in parts for v in p[2]]], [out], [size.tolist()], [planes(index)],
+                           [distinct.tobytes()], [planes(n)])
 
     total = 0
     for batch, texts in tx.slices(batches):
@@ -92,13 +108,13 @@ def _deal(bits: int):
     def run(batches):
         for batch in batches:
             for chunk, h, n in zip(*(batch.column(c).to_pylist() for c in ("chunk", "hash", "n"))):
-                hashed, counts = np.frombuffer(h, np.uint64), np.frombuffer(n, np.uint32)
+                hashed, counts = np.frombuffer(h, np.uint64), values_of(n)
                 shard = (hashed >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashed), np.int64)
                 at = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, np.int64)
                 ends = np.append(at, len(shard))
                 rows = list(zip(ends[:-1], ends[1:]))
                 yield tx.batch_of(DEALT, shard[at], np.full(len(at), chunk), [hashed[i:j].tobytes() for i, j in rows],
-                                  [counts[i:j].tobytes() for i, j in rows])
+                                  [planes(counts[i:j]) for i, j in rows])
     return run
 
 
@@ -113,7 +129,7 @@ def band(c: np.ndarray) -> np.ndarray:
 def _sum_shard(rows: pa.Table) -> pa.Table:
     """Totals of a shard's tokens, sent to every chunk in the order of its own list."""
     hashed = [np.frombuffer(b, np.uint64) for b in rows.column("hash").to_pylist()]
-    counts = [np.frombuffer(b, np.uint32) for b in rows.column("n").to_pylist()]
+    counts = [values_of(b) for b in rows.column("n").to_pylist()]
     distinct, index = np.unique(np.concatenate(hashed), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, index, np.concatenate(counts).astype(np.int64))
@@ -124,8 +140,8 @@ def _sum_shard(rows: pa.Table) -> pa.Table:
     ends = tx.offsets_of(np.array(list(map(len, hashed)), np.int64))
     parts = [index[i:j] for i, j in zip(ends[:-1], ends[1:])]
     return pa.Table.from_batches([tx.batch_of(
-        REPLY, rows.column("shard").combine_chunks(), rows.column("chunk").combine_chunks(), [total[p].tobytes() for p in parts],
-        [name[p].tobytes() for p in parts], [sums.tolist() if i == 0 else None for i in range(len(parts))])])
+        REPLY, rows.column("shard").combine_chunks(), rows.column("chunk").combine_chunks(), [planes(total[p]) for p in parts],
+        [planes(name[p]) for p in parts], [sums.tolist() if i == 0 else None for i in range(len(parts))])])
 
 
 @dataclass
@@ -192,8 +208,8 @@ class Model:
 def _columns(batch: pa.RecordBatch):
     for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "size", "index", "c", "name"))):
         doc, out, size, index, c, name = row
-        yield (doc, np.array(out, bool), np.array(size, np.int64), np.frombuffer(index, np.uint32), np.frombuffer(c, np.uint32).astype(np.int64),
-               np.frombuffer(name, np.uint32))
+        yield (doc, np.array(out, bool), np.array(size, np.int64), values_of(index),
+               np.concatenate([values_of(b) for b in c]).astype(np.int64), np.concatenate([values_of(b) for b in name]))
 
 
 GRADIENT = pa.schema([("block", pa.int32()), ("grad", pa.binary()), ("curve", pa.binary())])
@@ -247,7 +263,8 @@ def _scores(model):
 
 def counted_chunks(docs: DataFrame) -> tuple[DataFrame, Model]:
     """Chunks of ``docs`` (doc_id, text, held_out) with the training counts of their tokens, and a model with these counts."""
-    chunks = cut(docs.select("doc_id", "text", "held_out").mapInArrow(_chunks, CHUNK_DDL))
+    tx.small_batches(docs.sparkSession)
+    chunks = _compact(docs.select("doc_id", "text", "held_out").mapInArrow(_chunks, CHUNK_DDL))
     bits = max(0, (max(chunks.count() // 4, 1) - 1).bit_length() + 2)
     dealt = chunks.select("chunk", "hash", "n").mapInArrow(_deal(bits), "shard long, chunk long, hash binary, n binary")
     reply = cut(dealt.groupBy("shard").applyInArrow(_sum_shard, "shard long, chunk long, c binary, name binary, bins array<long>"))
@@ -256,9 +273,7 @@ def counted_chunks(docs: DataFrame) -> tuple[DataFrame, Model]:
     for i, n in at.groupBy("i").agg(F.sum("n")).collect():  # one row a band at most
         sums[i] = n
     back = reply.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "c", "name"))).alias("r"))  # no longer than a chunk
-    # an array of binaries joins to one by way of their concatenation
-    glue = lambda c: F.aggregate(F.col(f"r.{c}"), F.lit(b""), lambda acc, b: F.concat(acc, b))
-    counted = cut(chunks.drop("hash", "n").join(back.select("chunk", glue("c").alias("c"), glue("name").alias("name")), "chunk"))
+    counted = _compact(chunks.drop("hash", "n").join(back.select("chunk", F.col("r.c").alias("c"), F.col("r.name").alias("name")), "chunk"))
     return counted, Model(sums[:BINS], sums[BINS:])
 
 

@@ -14,8 +14,10 @@ each block with probability over 0.37, so all 128 miss with probability below 2*
 Keys shared by several sets give candidates. A first turn tests every set against its smallest candidate, which joins most of
 every group. Keys that still join different components are then searched completely for pairs of different components that
 a short sketch of 256 bits allows, as its Hamming distance never exceeds the number of differing elements; only such pairs
-are sent on and compared as sets. Keys with more than ``SMALL_GROUP`` sets are tested against a few hubs a turn instead, which
-leave the key when tested, until none is left. So no link that matters for a component is lost.
+are sent on and compared as sets. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
+block of a second, independent sketch: such keys are replaced by pairs of keys, which splits them into small groups. What does not
+split is tested against a few hubs a turn, which leave the key when tested, until none is left. So no link that matters
+for a component is lost.
 
 Contract: null and empty texts and texts without words have an empty set and link with nothing. Texts with fewer words
 than the n-gram size have one element, the whole sequence. Equal sets are one class whatever their number. Rows with a null
@@ -38,7 +40,9 @@ from demandloom.session import cut
 
 MAX_BLOCKS = 128
 HUBS = 4
-SMALL_GROUP = 2048
+SPLITS = 3
+SMALL_GROUP = 32_768
+ROW_PAIRS = 1 << 20
 SKETCH = ("s0", "s1", "s2", "s3")
 BROADCAST_IDS = 500_000
 
@@ -290,8 +294,27 @@ def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarit
         links = cut(links.union(_verified(found.union(star).distinct(), info, sets, rule)))
         if large.isEmpty():
             return links
-        live = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
+        rest = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
         turn += 1
+        live = _split(rest, sets, rule, turn) if turn <= SPLITS else cut(rest)
+
+
+def _split(live: DataFrame, sets: DataFrame, rule: Similarity, turn: int) -> DataFrame:
+    """Keys of large groups combined with the keys of another sketch; keys of a single set go."""
+    own = sets.join(live.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_other_keys(rule, turn), "key long, doc_id long")
+    both = live.join(own.withColumnRenamed("key", "other"), "doc_id").select(F.xxhash64("key", "other").alias("key"), "doc_id").distinct()
+    several = both.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    return cut(both.join(several, "key", "left_semi"))
+
+
+def _other_keys(rule: Similarity, turn: int):
+    def run(batches):
+        for batch in batches:
+            for doc, raw in zip(batch.column("doc_id"), batch.column("set")):
+                values = tx.mix(np.frombuffer(raw.as_buffer(), np.uint64) + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+                keys, _ = block_keys(values, np.array([len(values)]), rule)
+                yield tx.batch_of(PAIRED, keys.view(np.int64), np.full(len(keys), doc.as_py()))
+    return run
 
 
 def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
@@ -302,8 +325,9 @@ def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
 def _close_in_group(rule: Similarity):
     """Pairs of one key and different components whose sizes and short sketches allow a link. Rows come sorted by key."""
     def pairs(d, comp, n, sketch):
-        for at in range(0, len(d), 256):
-            own = slice(at, at + 256)
+        step = max(1, ROW_PAIRS // len(d))
+        for at in range(0, len(d), step):
+            own = slice(at, at + step)
             total = n[own, None] + n[None, at:]
             apart = sum(np.bitwise_count(sketch[own, None, j] ^ sketch[None, at:, j]).astype(np.int64) for j in range(4))
             good = (comp[own, None] < comp[None, at:]) & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total)

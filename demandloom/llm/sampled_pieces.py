@@ -32,7 +32,8 @@ from demandloom.llm import text as tx
 from demandloom.llm.pieces import Pieces, pieces
 
 SLICE = 1 << 19
-HEAD = 24
+HEAD = 192
+FAR = 32.0
 
 
 @dataclass
@@ -46,6 +47,7 @@ class Tables:
     id: np.ndarray
     logp: np.ndarray
     ladder: np.ndarray  # node number plus the cumulative probability of its edges
+    likely: np.ndarray  # probability of a node's first edge
 
 
 class Lattice:
@@ -82,7 +84,7 @@ class Lattice:
         size = np.array(list(map(len, parts)), np.int64)
         number = np.repeat(np.arange(len(parts)), size)
         left = np.repeat(np.cumsum(size), size) - np.arange(len(points))  # characters to the end of the part
-        starts, steps, ids, scores = [], [], [], []
+        found = []
         single = np.zeros(len(points), bool)
         for n in range(1, min(self.vocabulary.longest, int(size.max())) + 1):
             at = np.flatnonzero(left >= n)
@@ -93,29 +95,28 @@ class Lattice:
             at, place = at[maybe[good]], place[good]
             if n == 1:
                 single[at] = True
-            starts.append(at)
-            steps.append(np.full(len(at), n))
-            ids.append(self.ids[place])
-            scores.append(self.scores[place])
+            found.append((n, at, self.ids[place], self.scores[place]))
         # a character that is no piece: its byte, or minus its code point for several bytes
         other = np.flatnonzero(~single)
         code = points[other].astype(np.int64)
         width = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-        starts.append(other)
-        steps.append(np.ones(len(other), np.int64))
-        ids.append(np.where(width == 1, self.byte_id[np.minimum(code, 255)], -code).astype(np.int32))
-        scores.append(self.vocabulary.last * width)
-        start, step = np.concatenate(starts), np.concatenate(steps)
-        order = np.argsort(start * 32 + step, kind="stable")
-        start, step, edge, score = start[order], step[order], np.concatenate(ids)[order], np.concatenate(scores)[order]
+        found.append((1, other, np.where(width == 1, self.byte_id[np.minimum(code, 255)], -code).astype(np.int32), self.vocabulary.last * width))
         first = tx.offsets_of(size + 1)
         node = np.arange(len(points)) + number  # the parts' end nodes lie between
         degree = np.zeros(int(first[-1]), np.int64)
-        degree[node] = np.bincount(start, minlength=len(points))
+        for _, at, _, _ in found:
+            degree[node[at]] += 1
         begin = np.cumsum(degree) - degree
-        target = node[start] + step
+        total = int(degree.sum())
+        target, edge, score = np.zeros(total, np.int64), np.zeros(total, np.int32), np.zeros(total)
+        free = begin.copy()
+        for n, at, ids, scores in sorted(found, key=lambda f: -f[0]):  # the longest edge of a node first, it is the likeliest
+            own = node[at]
+            place = free[own]
+            free[own] += 1
+            target[place], edge[place], score[place] = own + n, ids, scores
         after = np.zeros(len(degree))
-        logp = np.empty(len(start))
+        logp = np.empty(total)
         by_distance = np.argsort(left, kind="stable")
         ends = np.searchsorted(left[by_distance], np.arange(1, int(size.max()) + 2))
         for i, j in zip(ends[:-1], ends[1:]):
@@ -127,11 +128,12 @@ class Lattice:
             top = np.maximum.reduceat(value, at)
             after[own] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, k)), at))
             logp[e] = value - np.repeat(after[own], k)
-        logp[degree[node[start]] == 1] = 0.0
+        logp[begin[degree == 1]] = 0.0
         cumulative = np.cumsum(np.exp(logp))
         before = np.concatenate([[0.0], cumulative])[begin]
         ladder = cumulative - np.repeat(before, degree) + np.repeat(np.arange(len(degree)), degree)
-        return Tables(first, degree, begin, target, edge, logp, ladder)
+        likely = np.exp(np.append(logp, 0.0))[np.minimum(begin, len(logp))]
+        return Tables(first, degree, begin, target, edge, logp, ladder, likely)
 
 
 def uniform(key: np.ndarray) -> np.ndarray:
@@ -166,6 +168,8 @@ class Walk:
             key = tx.mix(keys[part[free]] + np.uint64((step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             if not open_too:
                 u = (key >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+                late = np.flatnonzero(u >= t.likely[node[free]])
+                free, u = free[late], u[late]
                 found = np.searchsorted(t.ladder, node[free] + u, "right")
                 edge[free] = np.clip(found, begin[free], begin[free] + degree[free] - 1)
             elif len(free):
@@ -252,9 +256,9 @@ class Sampler:
             for j, w in enumerate(wanted):
                 taken[w] = self._open(t, walk, bounds[j], bounds[j + 1], heads[w], need)
                 if taken[w] is None or head[j] < size[w] and not (
-                        len(taken[w][1]) >= need and taken[w][2] + 80 < min(s[0] for s in taken[w][1])):
+                        len(taken[w][1]) >= need and taken[w][2] + FAR < min(s[0] for s in taken[w][1])):
                     again.append(w)
-            wanted, length = np.array(again, np.int64), length * 8
+            wanted, length = np.array(again, np.int64), length * 4
         done = np.array([x[3] for x in taken], np.int64)
         index = tx.spans(ends[:-1] + done, size - done)
         rest = Walk(t, starts[index], keys[index], False)
@@ -321,6 +325,7 @@ def encode_samples(docs: DataFrame, model: str, k: int = 2, seed: int = 0) -> Da
                 tx.lists(np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array([len(x) for x in ids], np.int64), pa.int32()),
             )
 
+    tx.small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SAMPLED_DDL)
 
 
@@ -344,12 +349,20 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         vocabulary = pieces(model)
+        size = np.array(list(map(len, vocabulary.raw)), np.int64)
+        begin = np.cumsum(size) - size
+        letters = np.frombuffer(b"".join(vocabulary.raw), np.uint8)
         for batch in batches:
             ends = batch.column("ids").offsets.to_numpy()
-            values = batch.column("ids").values.to_numpy(zero_copy_only=False)
-            parts = [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
+            values = batch.column("ids").values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
+            ends = ends - ends[0]
+            flat = letters[tx.spans(begin[values], size[values])].tobytes()
+            places = tx.offsets_of(size[values])[ends].tolist()
+            texts = [flat[i + (flat[i:i + 1] == b" "):j] if j > i else b"" for i, j in zip(places[:-1], places[1:])]
+            raw = values.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([vocabulary.decode(p.tolist()) for p in parts], pa.string()),
-                 pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())], names=[*names, "text", "ids_crc32"])
+                [*batch.columns, pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()),
+                 pa.array([zlib.crc32(raw[4 * i:4 * j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())],
+                names=[*names, "text", "ids_crc32"])
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", text string, ids_crc32 long")

@@ -283,6 +283,7 @@ def _remaining(batches):
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs`` (doc_id, text)."""
+    tx.small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     known = docs.where("doc_id IS NOT NULL")
     rows = known.mapInArrow(_anchor_rows, "key long, doc_id long").repartition("key").sortWithinPartitions("key", "doc_id")

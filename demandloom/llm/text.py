@@ -78,6 +78,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
+def small_batches(spark) -> None:
+    """Let Spark hand texts to Python in batches of a few MB instead of 10,000 rows: this bounds the memory of both sides,
+    whatever the length of texts. Applies to the session from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def texts_of(column: pa.Array) -> Texts:
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
     if column.null_count:

@@ -124,8 +124,11 @@ def test_ngram_join_finds_chains_of_many_near_copies(spark):
     assert got == linked({i: shingles(t, 4) for i, t in rows}, 85, 100)
 
 
-def test_ngram_join_with_hubs_only(docs, rows, monkeypatch):
+@pytest.mark.parametrize("splits", [0, 2])
+def test_ngram_join_of_large_groups(docs, rows, monkeypatch, splits):
+    """Hubs only, and keys combined with those of further sketches."""
     monkeypatch.setattr(ngram_join, "SMALL_GROUP", 2)
+    monkeypatch.setattr(ngram_join, "SPLITS", splits)
     got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs, ngram_join.Similarity(4, 85, 100)).collect()}
     assert got == linked({i: shingles(t, 4) for i, t in rows}, 85, 100)
 
