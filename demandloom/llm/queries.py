@@ -8,18 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, substring_dedup, token_counts
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, text: str | None = None):
     def register(fn):
         QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
+        if text is not None:
+            SQL[name] = text
         return fn
     return register
 
@@ -28,13 +28,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op1_ngram_jaccard_join")
+@query("op1_ngram_jaccard_join", sql.NGRAM_JOIN)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return ngram_join.near_duplicates(docs, ngram_join.Similarity(4, 85, 100)).drop("class_id")
 
 
-@query("op3_embedding_near_dedup")
+@query("op3_embedding_near_dedup", sql.EMBEDDINGS)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_join.near_embeddings(table(spark, folder, "embeddings"), 0.98)
 
@@ -92,6 +92,6 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.lm_scores(docs.withColumn("held_out", held_out))
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", sql.SUBSTRINGS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.without_repeats(table(spark, folder, "documents"))
