@@ -12,9 +12,10 @@ use all of theirs. Bands with over ``MAX_BLOCKS`` blocks use the first ``MAX_BLO
 each block with probability over 0.37, so all 128 miss with probability below 2**-64, less than that of a hash collision.
 
 Keys shared by several sets give candidates. A first turn tests every set against its smallest candidate, which joins most of
-every group. Keys that still join different components are then searched completely for pairs of different components that
+every group. Keys that still join different components are then searched for pairs of different components that
 a short sketch of 256 bits allows, as its Hamming distance never exceeds the number of differing elements; only such pairs
-are sent on and compared as sets. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
+are sent on and compared as sets. In the first ``NEAREST`` searches every set of a key names one partner only, its nearest by sketch, then
+the next nearest, which joins what can be joined; the last search names all that are left. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
 block of a second, independent sketch: such keys are replaced by pairs of keys, which splits them into small groups. What does not
 split is tested against a few hubs a turn, which leave the key when tested, until none is left. So no link that matters
 for a component is lost.
@@ -40,6 +41,7 @@ from demandloom.session import cut
 
 MAX_BLOCKS = 128
 HUBS = 4
+NEAREST = 2
 SPLITS = 3
 SMALL_GROUP = 32_768
 ROW_PAIRS = 1 << 20
@@ -288,15 +290,19 @@ def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarit
         small = live.where(F.col("k") <= SMALL_GROUP).select("key", "doc_id", "comp").join(info, "doc_id")
         order = ["key", "comp", "doc_id"]
         found = small.select(*order, "n", *SKETCH).repartition("key").sortWithinPartitions(*order).mapInArrow(
-            _close_in_group(rule), "a long, b long")
+            _close_in_group(rule, turn if turn < NEAREST else None), "a long, b long")
         star = large.select("doc_id", "comp", F.explode("hubs").alias("hub")).where("comp <> hub.comp")
         star = star.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
         links = cut(links.union(_verified(found.union(star).distinct(), info, sets, rule)))
-        if large.isEmpty():
+        none = large.isEmpty()
+        if none and (turn >= NEAREST or small.isEmpty()):
             return links
         rest = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
+        if not none:
+            rest = _split(rest, sets, rule, turn + 1) if turn < SPLITS else cut(rest)
+        # keys that were searched completely are done; the others are searched on
+        live = rest if turn >= NEAREST else small.select("key", "doc_id").union(rest) if not none else small.select("key", "doc_id")
         turn += 1
-        live = _split(rest, sets, rule, turn) if turn <= SPLITS else cut(rest)
 
 
 def _split(live: DataFrame, sets: DataFrame, rule: Similarity, turn: int) -> DataFrame:
@@ -322,18 +328,27 @@ def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
     return cut(ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")))
 
 
-def _close_in_group(rule: Similarity):
-    """Pairs of one key and different components whose sizes and short sketches allow a link. Rows come sorted by key."""
+def _close_in_group(rule: Similarity, rank: int | None):
+    """Pairs of one key and different components whose sizes and short sketches allow a link: all of them, or for each set the
+    one of a rank by sketch distance. Rows come sorted by key."""
     def pairs(d, comp, n, sketch):
         step = max(1, ROW_PAIRS // len(d))
         for at in range(0, len(d), step):
             own = slice(at, at + step)
-            total = n[own, None] + n[None, at:]
-            apart = sum(np.bitwise_count(sketch[own, None, j] ^ sketch[None, at:, j]).astype(np.int64) for j in range(4))
-            good = (comp[own, None] < comp[None, at:]) & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total)
-            low = np.minimum(n[own, None], n[None, at:])
-            i, j = np.nonzero(good & (low * rule.q >= (total - low) * rule.p))
-            x, y = d[at + i], d[at + j]
+            after = at if rank is None else 0
+            total = n[own, None] + n[None, after:]
+            apart = sum(np.bitwise_count(sketch[own, None, j] ^ sketch[None, after:, j]).astype(np.int64) for j in range(4))
+            other = comp[own, None] < comp[None, after:] if rank is None else comp[own, None] != comp[None, after:]
+            low = np.minimum(n[own, None], n[None, after:])
+            good = other & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total) & (low * rule.q >= (total - low) * rule.p)
+            if rank is None:
+                i, j = np.nonzero(good)
+            else:
+                far = np.where(good, apart, 1 << 20)
+                k = np.minimum(rank, good.sum(1) - 1)
+                i = np.flatnonzero(k >= 0)
+                j = np.argsort(far[i], axis=1, kind="stable")[np.arange(len(i)), k[i]] if rank else far[i].argmin(1)
+            x, y = d[at + i], d[after + j]
             yield tx.batch_of(VERIFIED, np.maximum(x, y), np.minimum(x, y))
 
     def run(batches):
