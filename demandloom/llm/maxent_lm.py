@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import text as tx
-from demandloom.session import cut, scratch_path
+from demandloom.llm.graph import compact
+from demandloom.session import cut
 
 SMOOTH = 0.1
 CLASSES = 32
@@ -56,13 +57,6 @@ def values_of(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _compact(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder with stronger compression."""
-    path = scratch_path(df.sparkSession, "chunks")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def tokens(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens with the ends, and the number of each text."""
     words = tx.words_of(texts)
@@ -264,7 +258,7 @@ def _scores(model):
 def counted_chunks(docs: DataFrame) -> tuple[DataFrame, Model]:
     """Chunks of ``docs`` (doc_id, text, held_out) with the training counts of their tokens, and a model with these counts."""
     tx.small_batches(docs.sparkSession)
-    chunks = _compact(docs.select("doc_id", "text", "held_out").mapInArrow(_chunks, CHUNK_DDL))
+    chunks = compact(docs.select("doc_id", "text", "held_out").mapInArrow(_chunks, CHUNK_DDL))
     bits = max(0, (max(chunks.count() // 4, 1) - 1).bit_length() + 2)
     dealt = chunks.select("chunk", "hash", "n").mapInArrow(_deal(bits), "shard long, chunk long, hash binary, n binary")
     reply = cut(dealt.groupBy("shard").applyInArrow(_sum_shard, "shard long, chunk long, c binary, name binary, bins array<long>"))
@@ -273,7 +267,7 @@ def counted_chunks(docs: DataFrame) -> tuple[DataFrame, Model]:
     for i, n in at.groupBy("i").agg(F.sum("n")).collect():  # one row a band at most
         sums[i] = n
     back = reply.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "c", "name"))).alias("r"))  # no longer than a chunk
-    counted = _compact(chunks.drop("hash", "n").join(back.select("chunk", F.col("r.c").alias("c"), F.col("r.name").alias("name")), "chunk"))
+    counted = compact(chunks.drop("hash", "n").join(back.select("chunk", F.col("r.c").alias("c"), F.col("r.name").alias("name")), "chunk"))
     return counted, Model(sums[:BINS], sums[BINS:])
 
 

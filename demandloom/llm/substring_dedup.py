@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import text as tx
+from demandloom.llm.graph import compact
 from demandloom.session import cut
 
 WINDOW = 13
@@ -287,14 +288,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     known = docs.where("doc_id IS NOT NULL")
     rows = known.mapInArrow(_anchor_rows, "key long, doc_id long").repartition("key").sortWithinPartitions("key", "doc_id")
-    shared = cut(rows.mapInArrow(_shared, "key long, doc_id long"))
+    shared = compact(rows.mapInArrow(_shared, "key long, doc_id long"))
     hot = shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("key", F.lit(True).alias("many"))
-    lists = cut(
+    lists = compact(
         shared.join(hot, "key", "left").groupBy("doc_id").agg(F.collect_list(F.struct("key", F.coalesce("many", F.lit(False)).alias("many"))).alias("k"))
         .select("doc_id", F.col("k.key").alias("keys"), F.col("k.many").alias("many"))
     )  # a document's own anchors
     marked = known.withColumn("same", F.xxhash64("text"))
-    passages = cut(_matching(marked, lists).join(lists, "doc_id").select("doc_id", "text", "same", "keys", "many").mapInArrow(_passages, PASSAGE_DDL))
+    passages = compact(_matching(marked, lists).join(lists, "doc_id").select("doc_id", "text", "same", "keys", "many").mapInArrow(_passages, PASSAGE_DDL))
     distinct = passages.groupBy("key", "f1", "f2").agg(F.min("doc_id").alias("low"), F.first("words").alias("words"))
     judged = distinct.repartition("key", F.when(F.col("words").isNull(), F.col("f1"))).sortWithinPartitions("key").mapInArrow(
         _judge, "f1 long, f2 long, low array<long>")
