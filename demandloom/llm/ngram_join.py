@@ -347,7 +347,12 @@ def _close_in_group(rule: Similarity, rank: int | None):
                 far = np.where(good, apart, 1 << 20)
                 k = np.minimum(rank, good.sum(1) - 1)
                 i = np.flatnonzero(k >= 0)
-                j = np.argsort(far[i], axis=1, kind="stable")[np.arange(len(i)), k[i]] if rank else far[i].argmin(1)
+                far, k = far[i], k[i]
+                j = far.argmin(1)
+                for r in range(rank):  # the next nearest, where there is one
+                    more = np.flatnonzero(k > r)
+                    far[more, j[more]] = 1 << 21
+                    j[more] = far[more].argmin(1)
             x, y = d[at + i], d[after + j]
             yield tx.batch_of(VERIFIED, np.maximum(x, y), np.minimum(x, y))
 
