@@ -93,6 +93,34 @@ def test_secrets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+ASSIGNED = [("password=S3cr3t!pass", "S3cr3t!pass"), ("my pwd: Tr0ub4dor&3.", "Tr0ub4dor&3"), ('password = "hxkqzvbtwm"', "hxkqzvbtwm"),
+            ("secret=qWmZkXbTvHgRpLsN next", "qWmZkXbTvHgRpLsN"), ("?password=kJ8!xw2Q&user=bob", "kJ8!xw2Q"),
+            ('aws_s3_secret_key = "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ8hT2vLkE5d"', "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ8hT2vLkE5d"),
+            ('oauth2_client_secret="GkTqzWvLmXbRnHsJpYcD"', "GkTqzWvLmXbRnHsJpYcD")]
+
+
+def test_assigned_secrets(spark):
+    df = spark.createDataFrame([(i, "ü text " + t) for i, (t, _) in enumerate(ASSIGNED)], "doc_id long, text string")
+    found = secrets.scan(df).where(F.col("probability") >= secrets.CUT).collect()
+    assert {(r.doc_id, r.value) for r in found} >= {(i, v) for i, (_, v) in enumerate(ASSIGNED)}
+    hidden = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert not [i for i, (_, v) in enumerate(ASSIGNED) if v in hidden[i]]
+
+
+def test_candidates_in_place(spark):
+    """Every candidate with the text around it, cut by position, however close the next one is."""
+    texts = [" ".join(t for t, _ in ASSIGNED), "a1b2c3d4e5f6:g1h2i3j4k5l6," * 9, "é" * 60 + " token=abc!def " + "ü" * 30, "password=ab password=", "password=" + "x&" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secrets.candidates(df).collect()
+    for r in rows:
+        t, at = texts[r.doc_id], r.start - 1
+        end = at + len(r.value)
+        assert (t[at:end], t[max(0, at - secrets.BEFORE):at], t[end:end + secrets.AFTER]) == (r.value, r.before, r.after)
+    spans = [(r.doc_id, r.start, r.value) for r in rows]
+    assert len(spans) == len(set(spans)) and {v for _, v in ASSIGNED} <= {r.value for r in rows if r.doc_id == 0}
+    assert sum(r.doc_id == 1 for r in rows) == 18 and not [r for r in rows if r.doc_id == 3]
+
+
 def test_secrets_on_the_sample(spark, folder):
     docs = spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
     shape = r"AKIA[0-9A-Z]{16}|(?<=token = \")[0-9a-f]{40}|(?<=password=)[0-9a-f]{18}"
