@@ -3,10 +3,11 @@
 ``write`` encodes with a library tokenizer, appends ``END`` to every document, counts all ids for one shared table of
 frequencies, codes every document as independent blocks and lays them out in ranges of doc_id, one folder a range.
 A row of a file is one document: its place in the range, id count, and blocks (each with count, checksum and states, so every
-row is a checkpoint at which decoding can start). ``read`` decodes the files in parallel and checks all checksums.
+row is a checkpoint at which decoding can start). The counts and the constants of the format lie beside the ranges (``_table``), so that
+the files can be read by any session. ``read`` decodes the files in parallel and checks all checksums.
 
 Contract: a null text is an empty one, so that such a document has the end id only. Rows with a null doc_id are dropped. Rows
-with equal doc_id follow each other in an order fixed by their contents. An empty table gives no files and no rows.
+with equal doc_id follow each other in an order fixed by their contents. An empty table gives no ranges and no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from demandloom.session import scratch_path
 
 END = 0
 GROUP_BYTES = 4 << 20
+CONSTANTS = {"version": 1, "bits": rans.BITS, "lanes": rans.LANES, "block": rans.BLOCK, "end": END}
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 COUNTED = pa.schema([("id", pa.int64()), ("n", pa.int64())])
@@ -105,7 +107,7 @@ def _place(batches):
 
 
 def write(docs: DataFrame, path: str, tokenizer: str) -> np.ndarray:
-    """Write the files of ``docs`` (doc_id, text) under ``path``; returns the counts of all ids, the table's source."""
+    """Write the files of ``docs`` (doc_id, text) and their table under ``path``; returns the counts of all ids, the table's source."""
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     coder = encoder(tokenizer)
@@ -125,6 +127,22 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> np.ndarray:
     laid = coded.repartition("range").sortWithinPartitions("range", "doc_id", "n_tokens", "ids_crc32").mapInArrow(
         _place, "doc_id long, n_tokens long, blocks array<binary>, start_in_range long, range int")
     laid.write.partitionBy("range").parquet(path)
+    used = np.flatnonzero(counts)
+    spark.createDataFrame(list(zip(used.tolist(), counts[used].tolist())), "id long, n long").coalesce(1).write.parquet(f"{path}/_table/counts")
+    constants = [*CONSTANTS.items(), ("ids", size)]
+    spark.createDataFrame(constants, "name string, value long").coalesce(1).write.parquet(f"{path}/_table/format")
+    return counts
+
+
+def stored_counts(spark: SparkSession, path: str) -> np.ndarray:
+    """The counts written beside the ranges; files of another format are an error."""
+    found = {r.name: r.value for r in spark.read.schema("name string, value long").parquet(f"{path}/_table/format").collect()}
+    size = found.pop("ids", None)
+    if size is None or found != CONSTANTS:
+        raise ValueError(f"the files have another format: {found}")
+    counts = np.zeros(size, np.int64)
+    for i, n in spark.read.schema("id long, n long").parquet(f"{path}/_table/counts").collect():  # at most one row an id
+        counts[i] = n
     return counts
 
 
@@ -154,14 +172,14 @@ def _decode(table, keep: bool):
     return run
 
 
-def read(spark: SparkSession, path: str, counts: np.ndarray, keep_ids: bool = True) -> DataFrame:
-    """Documents of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids (little-endian 32 bits)."""
+def read(spark: SparkSession, path: str, counts: np.ndarray | None = None, keep_ids: bool = True) -> DataFrame:
+    """Documents of the files, by their stored counts if none are given: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids (little-endian 32 bits)."""
     files = spark.read.schema(
         "doc_id long, n_tokens long, blocks array<binary>, start_in_range long, range int").parquet(path)
     totals = files.groupBy("range").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("range", F.coalesce(
         F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    table = spark.sparkContext.broadcast(counts)
+    table = spark.sparkContext.broadcast(stored_counts(spark, path) if counts is None else counts)
     docs = files.select("doc_id", "range", "start_in_range", "n_tokens", "blocks").mapInArrow(
         _decode(table, keep_ids), "doc_id long, range int, start_in_range long, n_tokens long, ids_crc32 long, ids binary")
     return docs.join(before, "range").select(

@@ -43,8 +43,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path = scratch_path(spark, "token-files")
-    counts = binary_tokens.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    return binary_tokens.read(spark, path, counts, keep_ids=False).drop("ids")
+    binary_tokens.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return binary_tokens.read(spark, path, keep_ids=False).drop("ids")
 
 
 @query("op4_quality_classifier")

@@ -412,3 +412,17 @@ def test_empty_tables(spark, empty):
     path = scratch_path(spark, "none")
     counts = binary_tokens.write(empty, path, BPE)
     assert binary_tokens.read(spark, path, counts).count() == 0
+
+
+def test_token_files_are_complete(spark, docs, empty, monkeypatch):
+    """Another session reads the files without the counts; files of another format are refused."""
+    path = scratch_path(spark, "token-test")
+    counts = binary_tokens.write(docs, path, BPE)
+    want = sorted(map(tuple, binary_tokens.read(spark, path, counts).collect()))
+    assert want and sorted(map(tuple, binary_tokens.read(spark.newSession(), path).collect())) == want
+    nothing = scratch_path(spark, "token-test")
+    binary_tokens.write(empty, nothing, BPE)
+    assert binary_tokens.read(spark, nothing).count() == 0
+    monkeypatch.setattr(binary_tokens, "CONSTANTS", {**binary_tokens.CONSTANTS, "bits": 1})
+    with pytest.raises(ValueError):
+        binary_tokens.read(spark, path)
