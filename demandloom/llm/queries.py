@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts, whitening
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_substring_dedup", sql.SUBSTRINGS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.without_repeats(table(spark, folder, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return whitening.whiten(rows, whitening.fit_whitening(rows, components=16))
