@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts, whitening
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, manifest, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts, whitening
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return whitening.whiten(rows, whitening.fit_whitening(rows, components=16))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest(table(spark, folder, "documents"))
