@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import binary_tokens, decontaminate, embedding_join, manifest, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts, whitening
+from demandloom.llm import binary_tokens, decontaminate, embedding_join, manifest, maxent_lm, ngram_join, quality_crf, sampled_pieces, secrets, sql, substring_dedup, token_counts, url_rules, whitening
 from demandloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(rows, whitening.fit_whitening(rows, components=16))
 
 
-@query("op12_merkle_manifest")
+@query("op12_merkle_manifest", sql.MANIFEST)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.manifest(table(spark, folder, "documents"))
+
+
+@query("op13_url_filters", sql.URL_FILTERS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.filter_urls(table(spark, folder, "pages").select("page_id", "url"))
