@@ -750,23 +750,21 @@ def calendar_null_fill(r: Retail):
     return steadied(weekly.dense_calendar(facts, CATEGORY, ("quantity", "net_value")), ["quantity", "net_value"])
 
 
-# Two trials and folds on the first horizon: the search itself, at the smallest useful size.
+def tuning_frame(r: Retail) -> tuple[DataFrame, list[str]]:
+    frame = clustered_windows(r, [LAST])
+    return cut(windows.training_frame(frame, LAST)), windows.feature_columns(frame)
+
+
 @query("tune_regressor")
 def tune_regressor(r: Retail):
-    frame = clustered_windows(r, [LAST])
-    space = {**tuning.REGRESSOR_SPACE, "trees": tuning.Range(20, 40, whole=True)}
-    return tuning.tune_regressor(
-        windows.training_frame(frame, LAST), windows.feature_columns(frame), TARGETS[:1], space, trials=2, folds=2
-    )
+    frame, names = tuning_frame(r)
+    return tuning.tune_regressor(frame, names, TARGETS)
 
 
 @query("tune_classifier")
 def tune_classifier(r: Retail):
-    frame = clustered_windows(r, [LAST])
-    space = {**tuning.CLASSIFIER_SPACE, "trees": tuning.Range(20, 40, whole=True), "depth": tuning.Range(2, 4, whole=True)}
-    return tuning.tune_classifier(
-        windows.training_frame(frame, LAST), windows.feature_columns(frame), TARGETS[:1], space, trials=2, folds=2
-    )
+    frame, names = tuning_frame(r)
+    return tuning.tune_classifier(frame, names, TARGETS)
 
 
 # ---------------------------------------------------------------- allocation

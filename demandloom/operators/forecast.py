@@ -2,56 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from demandloom.operators import metrics
+from demandloom.operators.boosting import Encoder, Ensemble, Trainer, TreeSettings, as_rows, from_rows, sigmoid
+from demandloom.operators.model_inputs import CATEGORICAL, Inputs, fit_inputs, fit_scaler
+from demandloom.operators.tuning import ROWS, Search, run_search
 from demandloom.operators.windows import (
     FEATURES, feature_columns, scoring_frame, target_columns, training_frame,
 )
 from demandloom.schema import HORIZON, LAGS, STORE, WEEKS, numbered
 from demandloom.session import cut
 
-CATEGORICAL = ("cluster", "premise")
+__all__ = ["CATEGORICAL", "Search", "TreeSettings", "fit_scaler"]
 
-
-@dataclass(frozen=True)
-class TreeSettings:
-    """Boosting parameters that MLlib has a counterpart for."""
-
-    trees: int
-    depth: int
-    rate: float
-    features: float
-    bins: int = 32
-    min_rows: int = 1
-    min_gain: float = 0.0
-    subsample: float = 1.0
-    held_out: float = 0.0
-
-
-# Fixed values of the two boosted models.
-REGRESSOR = TreeSettings(trees=20, depth=6, rate=1.0, features=0.4, min_gain=0.01)
-CLASSIFIER = TreeSettings(trees=70, depth=2, rate=0.09080085983910437, features=0.1, bins=48, min_rows=10)
+# Fixed values of the two boosted models, their seed and the gate.
+REGRESSOR = TreeSettings(
+    trees=20, depth=6, rate=1.0, features=0.4, tree_features=0.40916614469997564, leaves=20, min_gain=0.01,
+    l1=0.11249955446334554, l2=0.39595472784814545, max_step=7.541515576689044, min_weight=1.0,
+)
+CLASSIFIER = TreeSettings(
+    trees=70, depth=2, rate=0.09080085983910437, features=0.1, leaves=39, min_rows=10, bins=48, l2=0.1, held_out=0.1,
+)
+SEED = 411
+THRESHOLD = 0.986
+PARALLEL = 3
 
 
 @dataclass(frozen=True)
 class HurdleSettings:
-    regressor: TreeSettings = REGRESSOR
-    classifier: TreeSettings | None = CLASSIFIER
-    threshold: float = 0.986
-    seed: int = 411
-    parallel_fits: int = 10
+    """Parameters of both models; a ``Search`` in place of parameters is run inside the fit."""
+
+    regressor: TreeSettings | Search = REGRESSOR
+    classifier: TreeSettings | Search | None = CLASSIFIER
+    threshold: float = THRESHOLD
+    seed: int = SEED
 
     def __post_init__(self):
         if not 0 < self.threshold <= 1:
@@ -92,146 +87,122 @@ def gate(frame: DataFrame, chances: Sequence[str], amounts: Sequence[str], outpu
     )
 
 
-def _scaled(columns: Sequence[str], scaler: dict[str, tuple[float, float]]) -> list[Column]:
-    return [((F.col(c) - scaler[c][0]) / scaler[c][1]).alias(f"scaled_{c}") for c in columns]
-
-
-def fit_scaler(frame: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column: one aggregation, one row to the driver."""
-    row = frame.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"std_{c}") for c in columns]
-    ).first()
-    return {c: (row[f"mean_{c}"] or 0.0, row[f"std_{c}"] or 1.0) for c in columns}
-
-
 @dataclass
 class HurdleModel:
     """Fitted models of all horizons; scores in place, so ids never leave their row."""
 
-    features: list[str]
-    scaler: dict[str, tuple[float, float]]
-    assembler: object
-    regressors: list
-    classifiers: list
+    inputs: Inputs
+    amounts: Ensemble
+    chances: Ensemble | None
     threshold: float
-    horizon: int
+    constant: dict[int, float] = field(default_factory=dict)  # chance of horizons with a single class
+    search: list[tuple] = field(default_factory=list)
+
+    @property
+    def horizon(self) -> int:
+        return self.amounts.targets
 
     def components(self, frame: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Chance of a sale (``chance_h``) and amount (``amount_h``) per horizon."""
-        out = self.assembler.transform(frame.select("*", *_scaled(self.features, self.scaler)))
-        for h, model in enumerate(self.regressors):
-            out = model.transform(out).withColumnRenamed("prediction", f"amount_{h}")
-        for h, model in enumerate(self.classifiers):
-            if isinstance(model, float):
-                out = out.withColumn(f"chance_{h}", F.lit(model))
-            else:
-                out = (
-                    model.transform(out)
-                    .withColumn(f"chance_{h}", vector_to_array("probability").getItem(1))
-                    .drop("rawPrediction", "probability", "prediction")
-                )
-        names = [f"amount_{h}" for h in range(self.horizon)]
-        if self.classifiers:
+        encoder, amounts, chances, constant = self.inputs.encoder, self.amounts, self.chances, dict(self.constant)
+        keep, names = list(keep), [f"amount_{h}" for h in range(self.horizon)]
+        if chances:
             names += [f"chance_{h}" for h in range(self.horizon)]
-        return out.select(*keep, *names)
+        kept = frame.select(*keep).schema
+        schema = StructType(kept.fields)
+        for name in names:
+            schema = schema.add(name, DoubleType())
+
+        def run(batches):
+            amount, chance = amounts.scorer(encoder.width), chances.scorer(encoder.width) if chances else None
+            for batch in batches:
+                x = encoder.bins(batch)
+                out = list(amount(x))
+                if chance:
+                    out += [np.full(batch.num_rows, constant[h]) if h in constant else sigmoid(score) for h, score in enumerate(chance(x))]
+                yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(c) for c in out], [*keep, *names])
+
+        rows = self.inputs.rows(frame)
+        return rows.select(*keep, *encoder.columns(rows)).mapInArrow(run, schema)
 
     def predict(self, frame: DataFrame, keep: Sequence[str] = (STORE,)) -> DataFrame:
         """Gated forecast ``column_0 ..``; plain amounts when there is no classifier."""
         parts = self.components(frame, keep)
         outputs = [f"column_{h}" for h in range(self.horizon)]
         amounts = [f"amount_{h}" for h in range(self.horizon)]
-        if not self.classifiers:
+        if not self.chances:
             return parts.select(*keep, *[F.col(a).alias(o) for a, o in zip(amounts, outputs, strict=True)])
         chances = [f"chance_{h}" for h in range(self.horizon)]
+        if self.threshold == 1:
+            parts = cut(parts)  # read twice: for the largest chance, and for the gate
         return gate(parts, chances, amounts, outputs, self.threshold, keep)
 
-
-def _assembler(features: Sequence[str]) -> Pipeline:
-    """Vectors for both models: scaled numbers, and for the classifier cluster and premise as categories, however many
-    values they have (see ``category_bins``)."""
-    categories = [c for c in CATEGORICAL if c in features]
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"index_{c}", handleInvalid="keep", stringOrderType="alphabetAsc")
-        for c in categories
-    ]
-    return Pipeline(stages=[
-        *indexers,
-        VectorAssembler(inputCols=[f"scaled_{c}" for c in features], outputCol="numbers"),
-        VectorAssembler(
-            inputCols=[f"index_{c}" if c in categories else f"scaled_{c}" for c in features], outputCol="mixed"
-        ),
-    ])
-
-
-def category_bins(assembler) -> int:
-    """Bins that the fitted categories need: their values and the one for unknown values."""
-    return max((len(s.labels) + 1 for s in assembler.stages if isinstance(s, StringIndexerModel)), default=2)
-
-
-def _subset(share: float) -> str:
-    return "all" if share >= 1 else str(share)
-
-
-def tree_regressor(settings: TreeSettings, target: str, seed: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="numbers", labelCol=target, maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        featureSubsetStrategy=_subset(settings.features), maxBins=settings.bins, minInstancesPerNode=settings.min_rows,
-        minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
-        maxMemoryInMB=1024,
-    )
-
-
-def tree_classifier(settings: TreeSettings, target: str, seed: int, least_bins: int = 2) -> GBTClassifier:
-    """With ``held_out`` set, rows marked by a column ``held`` stop the boosting when their loss no longer falls."""
-    model = GBTClassifier(
-        featuresCol="mixed", labelCol=target, maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        featureSubsetStrategy=_subset(settings.features), maxBins=max(settings.bins, least_bins),
-        minInstancesPerNode=settings.min_rows, minInfoGain=settings.min_gain, subsamplingRate=settings.subsample, seed=seed,
-        maxMemoryInMB=1024,
-    )
-    return model.setValidationIndicatorCol("held") if settings.held_out > 0 else model
-
-
-def held_rows(share: float, columns: Sequence[str]) -> Column:
-    """Rows kept from learning, chosen by a hash of their values."""
-    return F.pmod(F.xxhash64(*columns), F.lit(1000)) < int(1000 * share)
+    def best_parameters(self, spark: SparkSession) -> DataFrame:
+        """(model, parameter, value) of the models that a search has chosen."""
+        best = [(name, parameter, value) for name, _, won, _, parameter, value in self.search if won]
+        return spark.createDataFrame(best, "model string, parameter string, value double")
+
+    def trials(self, spark: SparkSession) -> DataFrame:
+        """All trials of the searches, as ``tuning`` returns them."""
+        return spark.createDataFrame(self.search, ROWS)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model as a table: a row per tree, and one for scaler, bins, gate and trials."""
+        head = {"features": self.inputs.features, "scaler": self.inputs.scaler, "encoder": asdict(self.inputs.encoder), "threshold": self.threshold,
+                "constant": list(self.constant.items()), "search": self.search}
+        rows = [("model", 0, -1, json.dumps(head))]
+        for name, part in (("amounts", self.amounts), ("chances", self.chances)):
+            rows += [(name, *row) for row in as_rows(part)] if part else []
+        spark.createDataFrame(rows, "part string, target int, tree int, content string").write.parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> HurdleModel:
+        parts: dict[str, list] = {}
+        for part, target, tree, content in spark.read.parquet(path).collect():  # as large as the model
+            parts.setdefault(part, []).append((target, tree, content))
+        head = json.loads(parts["model"][0][2])
+        scaler = {c: tuple(v) for c, v in head["scaler"].items()}
+        return HurdleModel(
+            Inputs(head["features"], scaler, Encoder(**head["encoder"])), from_rows(parts["amounts"]),
+            from_rows(parts["chances"]) if "chances" in parts else None, head["threshold"], {int(h): v for h, v in head["constant"]},
+            [tuple(row) for row in head["search"]],
+        )
 
 
 def fit_hurdle(frame: DataFrame, features: Sequence[str], targets: Sequence[str],
                settings: HurdleSettings = HurdleSettings()) -> HurdleModel:
-    """Fit every horizon on one materialised frame.
+    """Fit all horizons of both models side by side on one packed table.
 
-    The horizons are independent, so a small thread pool submits their Spark jobs together.
-    A horizon with a single class gets a constant chance.
+    Where the settings hold a ``Search``, it runs first, on the same table, and its winner is fitted on all rows. A horizon with a
+    single class gets a constant chance.
     """
-    features, targets = list(features), list(targets)
-    scaler = fit_scaler(frame, features)
-    prepared = frame.select("*", *_scaled(features, scaler))
-    assembler = _assembler(features).fit(prepared)
-    bins = category_bins(assembler)
-    held = held_rows(settings.classifier.held_out if settings.classifier else 0.0, [STORE] if STORE in frame.columns else features)
-    ready = assembler.transform(prepared).select(
-        "numbers", "mixed", held.alias("held"), *[F.col(t).cast("double").alias(t) for t in targets],
-        *[(F.col(t) > 0).cast("double").alias(f"sold_{t}") for t in targets],
-    )
-    ready = ready.persist()
+    targets = list(targets)
+    inputs = fit_inputs(frame, features)
+    searches = [s for s in (settings.regressor, settings.classifier) if isinstance(s, Search)]
+    if len({s.folds for s in searches}) > 1:
+        raise ValueError("both searches must have the same number of folds")
+    trainer = Trainer(inputs.blocks(frame, targets, folds=searches[0].folds if searches else 0), inputs.encoder, len(targets))
+    trials: list[tuple] = []
+
+    def chosen(setting: TreeSettings | Search, chance: bool) -> TreeSettings:
+        if not isinstance(setting, Search):
+            return setting
+        found = run_search(trainer, inputs, setting, chance, len(targets))
+        trials.extend(found.rows)
+        return found.best
+
     try:
-        rates = ready.agg(*[F.avg(f"sold_{t}").alias(t) for t in targets]).first()
-        jobs: list[Callable] = [
-            lambda t=t: tree_regressor(settings.regressor, t, settings.seed).fit(ready) for t in targets
-        ]
+        amounts = inputs.amounts(chosen(settings.regressor, False), len(targets), settings.seed)
+        chances, constant = None, {}
         if settings.classifier:
-            for t in targets:
-                if rates[t] in (0.0, 1.0):
-                    jobs.append(lambda t=t: float(rates[t]))
-                else:
-                    jobs.append(lambda t=t: tree_classifier(settings.classifier, f"sold_{t}", settings.seed, bins).fit(ready))
-        with ThreadPoolExecutor(settings.parallel_fits) as pool:
-            models = list(pool.map(lambda job: job(), jobs))
+            rates = frame.agg(*[F.avg((F.col(t) > 0).cast("double")).alias(t) for t in targets]).first()
+            constant = {h: float(rates[t]) for h, t in enumerate(targets) if rates[t] in (0.0, 1.0)}
+            chances = inputs.chances(chosen(settings.classifier, True), len(targets), settings.seed)
+            chances.stopped = [h in constant for h in range(len(targets))]
+        trainer.advance([e for e in (amounts, chances) if e])
     finally:
-        ready.unpersist()
-    return HurdleModel(features, scaler, assembler, models[:len(targets)], models[len(targets):], settings.threshold,
-                       len(targets))
+        trainer.close()
+    return HurdleModel(inputs, amounts, chances, settings.threshold, constant, trials)
 
 
 def forecast_next_weeks(
@@ -284,16 +255,19 @@ def yardsticks(frame: DataFrame, targets: Sequence[str], by: Sequence[str] = ())
 def score(model: HurdleModel, frame: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Error rows (model, horizon, mae, mape1, all_zero) of the model, its regressor and the yardsticks on one frame."""
     horizon = range(len(targets))
-    keep = [*targets]
-    parts = model.components(frame, keep)
+    before = [numbered("quantity", LAGS - len(targets) + 1 + h) for h in horizon]
+    keep = [*targets, *[c for c in before if c not in targets]]
+    parts = cut(model.components(frame, keep))
     amounts, chances = [f"amount_{h}" for h in horizon], [f"chance_{h}" for h in horizon]
     outputs = [f"column_{h}" for h in horizon]
-    if model.classifiers:
+    if model.chances:
         gated = gate(parts, chances, amounts, outputs, model.threshold, (*keep, *amounts))
     else:
         gated = parts.select(*keep, *amounts, *[F.col(a).alias(o) for a, o in zip(amounts, outputs, strict=True)])
-    cells = _cells(gated, {"hurdle": [F.col(c) for c in outputs], "regressor": [F.col(c) for c in amounts]}, targets)
-    return _error_rows(cells).unionByName(yardsticks(frame, targets))
+    return _error_rows(_cells(gated, {
+        "hurdle": [F.col(c) for c in outputs], "regressor": [F.col(c) for c in amounts],
+        "naive": [F.col(c) for c in before], "zero": [F.lit(0.0)] * len(targets),
+    }, targets))
 
 
 def backtest(
@@ -306,18 +280,21 @@ def backtest(
     """Rolling origin: train on windows ending ``HORIZON`` weeks earlier, test on each week.
 
     Returns error rows per (week, sample, model, horizon). Each origin is fitted on the
-    cluster; the driver only loops over the handful of origins.
+    cluster; the driver only submits the handful of origins, a few at a time.
     """
     first = LAGS + 2 * HORIZON
     bad = [w for w in test_weeks if not first <= w <= WEEKS]
     if bad:
         raise ValueError(f"test weeks {bad} outside {first}..{WEEKS}")
     names, targets = feature_columns(windows, features), target_columns()
-    results = []
-    for week in test_weeks:
+
+    def origin(week: int) -> list[DataFrame]:
         train = cut(training_frame(windows, week - HORIZON, key, features))
         test = cut(training_frame(windows, week, key, features))
         model = fit_hurdle(train, names, targets, settings)
-        for sample, frame in (("train", train), ("test", test)):
-            results.append(score(model, frame, targets).select(F.lit(week).alias("week"), F.lit(sample).alias("sample"), "*"))
+        return [score(model, frame, targets).select(F.lit(week).alias("week"), F.lit(sample).alias("sample"), "*")
+                for sample, frame in (("train", train), ("test", test))]
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        results = [rows for rows_of in pool.map(origin, test_weeks) for rows in rows_of]
     return reduce(DataFrame.unionByName, results)
