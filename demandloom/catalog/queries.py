@@ -14,7 +14,7 @@ from demandloom.catalog.sql import (
 from demandloom.catalog.views import SEED, Retail
 from demandloom.functions import columns as cols
 from demandloom.operators import allocate as alloc
-from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, tuning, weekly, windows
+from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, radius, tuning, weekly, windows
 from demandloom.plans import weekly_plan
 from demandloom.schema import CATEGORY, HORIZON, LAGS, MEASURES, PRODUCT, STORE, WINDOWED, numbered
 from demandloom.session import cut, scratch_path
@@ -534,7 +534,7 @@ CORES = (
     f"SELECT pdv, COUNT(*) AS neighbours FROM pairs WHERE d <= {EPSILON} GROUP BY 1", PROFILE, PAIRS
 ))
 def eps_neighbours(r: Retail):
-    return density.neighbour_counts(r.space, EPSILON)
+    return radius.neighbour_counts(r.scaled, profile.CLUSTER_FEATURES, EPSILON)
 
 
 @query("core_distances", with_views(f"SELECT pdv, {grid('core')} FROM cores", PROFILE, PAIRS, CORES))
@@ -556,7 +556,7 @@ def reachability_mst(r: Retail):
     "reach AS (SELECT pdv, other FROM near UNION SELECT r.pdv, n.other FROM reach r JOIN near n ON n.pdv = r.other)",
 ))
 def density_components(r: Retail):
-    return density.density_components(r.hierarchy(MIN_SIZE), EPSILON)
+    return radius.density_components(r.scaled, profile.CLUSTER_FEATURES, EPSILON, MIN_SIZE)
 
 
 @query("store_clusters")

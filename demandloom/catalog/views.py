@@ -126,9 +126,13 @@ class Retail:
     def profile(self) -> DataFrame:
         return profile.store_profile(self.positive, self.stores)
 
+    @property
+    def scaled(self) -> DataFrame:
+        return self.once("scaled", lambda: cut(profile.scaled_store_features(self.profile)))
+
     @property
     def space(self) -> density.Space:
-        return self.once("space", lambda: density.index_points(profile.scaled_store_features(self.profile)))
+        return self.once("space", lambda: density.index_points(self.scaled))
 
     def hierarchy(self, size: int) -> density.Hierarchy:
         return self.once(f"hierarchy{size}", lambda: density.build_hierarchy(self.space, size, size))
