@@ -14,7 +14,7 @@ from demandloom.catalog.sql import (
 from demandloom.catalog.views import SEED, Retail
 from demandloom.functions import columns as cols
 from demandloom.operators import allocate as alloc
-from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, radius, tuning, weekly, windows
+from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, radius, sketches, tuning, weekly, windows
 from demandloom.plans import weekly_plan
 from demandloom.schema import CATEGORY, HORIZON, LAGS, MEASURES, PRODUCT, STORE, WINDOWED, numbered
 from demandloom.session import cut, scratch_path
@@ -96,6 +96,38 @@ def table_summary(r: Retail):
         "column_name", "n", "nulls", "mean", "std", "min", "max", "min_text", "max_text")
 
 
+@query("quartile_ranks", with_views(
+    " UNION ALL ".join(f"SELECT '{m}' AS column_name, CAST({s} AS DOUBLE) AS share, COUNT({m}) AS n, TRUE AS within FROM transactions"
+                       for m in MEASURES for s in sketches.QUARTILES)
+))
+def quartile_ranks(r: Retail):
+    """Quartiles of all measures from sketches per month, held against exact ranks."""
+    by_month = sketches.quantile_sketches(r.transactions, ["reference_date"], MEASURES)
+    bounds = sketches.rank_bounds(r.transactions, sketches.merged_quantiles(by_month, [], MEASURES))
+    return bounds.select("column_name", "share", "n", sketches.within_rank_error(bounds).alias("within"))
+
+
+@query("sketch_rollup", with_views(
+    "SELECT categoria_pdv, COUNT(DISTINCT internal_product_id) AS products, COUNT(DISTINCT distributor_id) AS distributors, "
+    "TRUE AS products_within, TRUE AS distributors_within FROM sales JOIN stores ON pdv = internal_store_id GROUP BY 1"
+))
+def sketch_rollup(r: Retail):
+    """Distinct products and distributors of a category, exact and from sketches per store and week."""
+    columns = (PRODUCT, "distributor_id")
+    weekly_sketches = sketches.distinct_sketches(r.positive, [STORE, cols.week_of(F.col("transaction_date")).alias("week")], columns)
+    categories = r.stores.select(F.col("pdv").alias(STORE), CATEGORY)
+    estimate = sketches.merged_distinct(weekly_sketches.join(categories, STORE), [CATEGORY], columns)
+    exact = r.positive.join(categories, STORE).groupBy(CATEGORY).agg(
+        F.count_distinct(PRODUCT).alias("products"), F.count_distinct("distributor_id").alias("distributors"))
+
+    def near(guess: str, count: str) -> Column:
+        return F.abs(F.col(guess) - F.col(count)) <= F.greatest(F.lit(1.0), sketches.DISTINCT_ERROR * F.col(count))
+
+    return exact.join(estimate, CATEGORY).select(
+        CATEGORY, "products", "distributors", near(PRODUCT, "products").alias("products_within"),
+        near("distributor_id", "distributors").alias("distributors_within"))
+
+
 @query("key_violations", with_views(
     "SELECT internal_store_id, internal_product_id, COUNT(*) AS rows FROM transactions GROUP BY 1, 2 HAVING COUNT(*) > 1"
 ))
