@@ -14,7 +14,7 @@ from demandloom.catalog.sql import (
 from demandloom.catalog.views import SEED, Retail
 from demandloom.functions import columns as cols
 from demandloom.operators import allocate as alloc
-from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, radius, sketches, tuning, weekly, windows
+from demandloom.operators import bandit, density, forecast, metrics, prepare, profile, quality, radius, sketches, timeline, tuning, weekly, windows
 from demandloom.plans import weekly_plan
 from demandloom.schema import CATEGORY, HORIZON, LAGS, MEASURES, PRODUCT, STORE, WINDOWED, numbered
 from demandloom.session import cut, scratch_path
@@ -690,6 +690,22 @@ def metric_medae(r: Retail):
     return steadied(metrics.median_absolute_error(naive_errors(r)), ["medae"])
 
 
+@query("windows_all_years", with_views(
+    "SELECT categoria_pdv, e.week, " + ", ".join(stable(f"SUM(CASE WHEN f.week = e.week - {13 - k} THEN quantity ELSE 0 END)", f"quantity{k:02d}") for k in range(1, 14))
+    + " FROM ends e CROSS JOIN (SELECT DISTINCT categoria_pdv FROM active) c "
+    "LEFT JOIN by_week f USING (categoria_pdv) GROUP BY categoria_pdv, e.week",
+    "by_week AS (SELECT categoria_pdv, (date_diff('day', DATE '1970-01-01', transaction_date) + 3) // 7 AS week, SUM(quantity) AS quantity "
+    "FROM sales JOIN active ON pdv = internal_store_id GROUP BY 1, 2), "
+    "ends AS (SELECT UNNEST(range((SELECT MIN(week) + 12 FROM by_week), (SELECT MAX(week) + 1 FROM by_week))) AS week)",
+))
+def windows_all_years(r: Retail):
+    """Every window of every store over the whole history, summed by category."""
+    found = timeline.long_windows(timeline.ordinal_facts(r.positive, ["quantity"]), ["quantity"])
+    columns = [numbered("quantity", k) for k in range(1, LAGS + HORIZON + 1)]
+    categories = r.stores.select(F.col("pdv").alias(STORE), CATEGORY)
+    return steadied(found.join(categories, STORE).groupBy(CATEGORY, "week").agg(*[F.sum(c).alias(c) for c in columns]), columns)
+
+
 # ---------------------------------------------------------------- fitted models
 
 HURDLE = forecast.HurdleSettings(threshold=THRESHOLD)
