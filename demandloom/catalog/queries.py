@@ -579,6 +579,26 @@ def reachability_mst(r: Retail):
     return density.spanning_tree(r.hierarchy(MIN_SIZE))
 
 
+# Grows the tree from the first key, one key a step: the nearest key outside, then the distances it shortens.
+GROWN_TREE = (
+    "reach AS MATERIALIZED (SELECT p.pdv, p.other, greatest(d, a.core, b.core) AS w FROM pairs p JOIN cores a ON a.pdv = p.pdv "
+    "JOIN cores b ON b.pdv = p.other WHERE p.pdv <> p.other)",
+    "grown(pdv, best, done) USING KEY (pdv) AS ("
+    "SELECT pdv, CASE WHEN pdv = (SELECT MIN(pdv) FROM cores) THEN -1.0 ELSE 1e308 END, FALSE FROM cores UNION ("
+    "WITH pick AS (SELECT pdv, best FROM recurring.grown WHERE NOT done ORDER BY best, pdv LIMIT 1) "
+    "SELECT pdv, best, TRUE FROM pick UNION ALL "
+    "SELECT n.pdv, r.w, FALSE FROM pick JOIN reach r ON r.pdv = pick.pdv JOIN recurring.grown n ON n.pdv = r.other WHERE NOT n.done AND r.w < n.best))",
+)
+
+
+@query("mst_weights", with_views(
+    "SELECT round(best, 6) AS distance, COUNT(*) AS edges FROM grown WHERE best >= 0 GROUP BY 1", PROFILE, PAIRS, CORES, *GROWN_TREE))
+def mst_weights(r: Retail):
+    """The weights of the spanning tree, which are the same for all spanning trees of least weight."""
+    tree = density.spanning_tree(r.hierarchy(MIN_SIZE))
+    return tree.groupBy(F.round("distance", 6).alias("distance")).agg(F.count("*").alias("edges"))
+
+
 @query("density_components", with_views(
     "SELECT c.pdv, COALESCE(m.component, c.pdv) AS component, c.core <= 0.5 AS is_core FROM cores c LEFT JOIN ("
     "SELECT pdv, MIN(other) AS component FROM reach GROUP BY 1) m ON m.pdv = c.pdv",
