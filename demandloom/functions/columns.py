@@ -45,7 +45,8 @@ def horizontal_sum(columns: Iterable[Column]) -> Column:
 
 
 def floor_int(value: Column) -> Column:
-    return F.floor(value).cast("int")
+    """Whole part as an integer; what exceeds the largest integer becomes it, instead of failing the whole plan."""
+    return F.floor(F.when(value > 2147483647.0, F.lit(2147483647.0)).otherwise(value)).cast("int")
 
 
 def columns_with_prefix(df: DataFrame, *prefixes: str) -> list[str]:

@@ -104,3 +104,15 @@ def test_allocation_equals_all_pairs(spark):
     )
     assert rows(plan, "semana", "pdv", "produto", "quantidade") == expected
     assert ("1", "s0", "half", 1) in expected
+
+
+def test_salts_by_category_and_saturated_quantities(spark, monkeypatch):
+    """Only a large category is dealt out; a forecast beyond the integers, or a null one, does not fail the plan."""
+    monkeypatch.setattr(alloc, "STORES_A_SALT", 10)
+    stores = spark.createDataFrame([(f"s{i}", "x", "hot" if i else "cold", 1) for i in range(36)], "pdv string, premise string, categoria_pdv string, zipcode int")
+    assert rows(alloc.category_salts(stores), CATEGORY, "salts") == [("cold", 1), ("hot", 4)]
+    shares = spark.createDataFrame([("hot", "p", 0.5, 0.5), ("cold", "q", 0.5, 1.0)], f"{CATEGORY} string, {PRODUCT} string, probability double, share double")
+    columns = ", ".join(f"{c} double" for c in alloc.HORIZON_COLUMNS)
+    forecasts = spark.createDataFrame([("s0", 1e12, None, 0.0, 3.0, 0.5)] + [(f"s{i}", 2.0, 0.0, 0.0, 0.0, 0.0) for i in range(1, 36)], f"{STORE} string, {columns}")
+    got = rows(alloc.allocate(forecasts, shares, stores), "semana", "pdv", "produto", "quantidade")
+    assert got == sorted([("1", "s0", "q", 2147483647), ("4", "s0", "q", 3)] + [("1", f"s{i}", "p", 1) for i in range(1, 36)])
