@@ -40,6 +40,7 @@ FINE = 8
 BINS = 64 * FINE
 NAMED = 16
 END = np.uint64(0x9AE16A3B2F90404F)
+TOTAL = "<u8"  # a token's total may pass 32 bits; its number in a chunk can't
 
 CHUNK = pa.schema([
     ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("size", pa.list_(pa.int32())), ("index", pa.binary()),
@@ -48,13 +49,14 @@ CHUNK = pa.schema([
 CHUNK_DDL = "chunk long, doc_id array<long>, held_out array<boolean>, size array<int>, index binary, hash binary, n binary"
 
 
-def planes(values: np.ndarray) -> bytes:
-    """32-bit values byte by byte, all first bytes first: small values leave planes of zeros, which compress away."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(values: np.ndarray, kind: str = "<u4") -> bytes:
+    """Whole numbers byte by byte, all first bytes first: small values leave planes of zeros, which compress away."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, size).T).tobytes()
 
 
-def values_of(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def values_of(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def tokens(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -128,13 +130,14 @@ def _sum_shard(rows: pa.Table) -> pa.Table:
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, index, np.concatenate(counts).astype(np.int64))
     bins = band(total)
-    sums = np.concatenate([np.bincount(bins, minlength=BINS), np.bincount(bins, total, BINS).astype(np.int64)])
+    mass = np.zeros(BINS, np.int64)
+    np.add.at(mass, bins, total)
+    sums = np.concatenate([np.bincount(bins, minlength=BINS), mass])
     name = np.where(total >= NAMED, distinct >> np.uint64(32), 0).astype(np.uint32)
-    total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
     ends = tx.offsets_of(np.array(list(map(len, hashed)), np.int64))
     parts = [index[i:j] for i, j in zip(ends[:-1], ends[1:])]
     return pa.Table.from_batches([tx.batch_of(
-        REPLY, rows.column("shard").combine_chunks(), rows.column("chunk").combine_chunks(), [planes(total[p]) for p in parts],
+        REPLY, rows.column("shard").combine_chunks(), rows.column("chunk").combine_chunks(), [planes(total[p], TOTAL) for p in parts],
         [planes(name[p]) for p in parts], [sums.tolist() if i == 0 else None for i in range(len(parts))])])
 
 
@@ -203,7 +206,7 @@ def _columns(batch: pa.RecordBatch):
     for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "size", "index", "c", "name"))):
         doc, out, size, index, c, name = row
         yield (doc, np.array(out, bool), np.array(size, np.int64), values_of(index),
-               np.concatenate([values_of(b) for b in c]).astype(np.int64), np.concatenate([values_of(b) for b in name]))
+               np.concatenate([values_of(b, TOTAL) for b in c]).astype(np.int64), np.concatenate([values_of(b) for b in name]))
 
 
 GRADIENT = pa.schema([("block", pa.int32()), ("grad", pa.binary()), ("curve", pa.binary())])
