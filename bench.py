@@ -18,7 +18,7 @@ HEADLINE = (
     "weekly_volume", "store_week_sum", "category_week_mean", "top_product_store", "store_profile",
     "category_product_week_mean", "dense_calendar", "window_features", "scoring_features", "bandit_posterior",
     "bandit_draw", "category_shares", "store_features_scaled", "metric_medae", "allocate",
-    "eps_neighbours", "core_distances",
+    "eps_neighbours", "density_components", "core_distances",
 )
 
 
