@@ -13,10 +13,12 @@ each block with probability over 0.37, so all 128 miss with probability below 2*
 
 Keys shared by several sets give candidates. A first turn tests every set against its smallest candidate, which joins most of
 every group. Keys that still join different components are then searched for pairs of different components that
-a short sketch of 256 bits allows, as its Hamming distance never exceeds the number of differing elements; only such pairs
-are sent on and compared as sets. In the first ``NEAREST`` searches every set of a key names one partner only, its nearest by sketch, then
+their parity sketches allow, as a Hamming distance never exceeds the number of differing elements; only such pairs are sent on and
+compared as sets. A short sketch of 256 bits is compared first. As it fills up with large sets, a long one follows with at least
+``BITS`` bits for every element that may differ (up to ``MOST_BITS``, beyond which a set sends on more pairs but loses none); sketches of different
+lengths are compared at the shorter one, to which the longer folds. In the first ``NEAREST`` searches every set of a key names one partner only, its nearest by sketch, then
 the next nearest, which joins what can be joined; the last search names all that are left. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
-block of a second, independent sketch: such keys are replaced by pairs of keys, which splits them into small groups. What does not
+block of another, independent sketch: such keys are replaced by pairs of keys, which splits them into small groups. What does not
 split is tested against a few hubs a turn, which leave the key when tested, until none is left. So no link that matters
 for a component is lost.
 
@@ -47,6 +49,9 @@ SMALL_GROUP = 32_768
 ROW_PAIRS = 1 << 20
 SKETCH = ("s0", "s1", "s2", "s3")
 BROADCAST_IDS = 500_000
+BITS = 8
+MOST_BITS = 1 << 15
+SHORT_BITS = 256
 
 
 @dataclass(frozen=True)
@@ -143,6 +148,18 @@ def short_sketch(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(bool).reshape(len(sizes), 256), axis=1, bitorder="little").view(np.int64)
 
 
+def long_bits(sizes: np.ndarray, rule: Similarity) -> np.ndarray:
+    """Bits of the long sketch of sets of given sizes, powers of two; those of the short one where that is long enough."""
+    wanted = np.maximum(BITS * rule.differ(2 * sizes), SHORT_BITS)
+    return np.minimum(1 << np.ceil(np.log2(wanted)).astype(np.int64), MOST_BITS)
+
+
+def long_sketch(values: np.ndarray, bits: int) -> bytes:
+    """Parity sketch of one set. Its upper half folded onto the lower one is the sketch of half the bits."""
+    place = (tx.mix(values ^ np.uint64(0x6A09E667F3BCC909)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
 SKETCHED = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64()),
     ("s2", pa.int64()), ("s3", pa.int64()), ("keys", pa.list_(pa.int64())),
@@ -228,7 +245,8 @@ def verifier(rule: Similarity):
     return run
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("set", pa.binary())])
+SETS = pa.schema([("doc_id", pa.int64()), ("wide", pa.binary()), ("set", pa.binary())])
+SETS_DDL = "doc_id long, wide binary, set binary"
 
 
 def set_writer(rule: Similarity):
@@ -237,7 +255,9 @@ def set_writer(rule: Similarity):
             values, sizes = sets_of(texts, rule.size)
             ends = tx.offsets_of(sizes)
             raw = values.tobytes()
-            yield tx.batch_of(SETS, batch.column("doc_id"), tx.blobs([raw[8 * i:8 * j] for i, j in zip(ends[:-1], ends[1:])]))
+            bits = long_bits(sizes, rule).tolist()
+            wide = [long_sketch(values[i:j], b) if b > SHORT_BITS else b"" for i, j, b in zip(ends[:-1], ends[1:], bits)]
+            yield tx.batch_of(SETS, batch.column("doc_id"), tx.blobs(wide), tx.blobs([raw[8 * i:8 * j] for i, j in zip(ends[:-1], ends[1:])]))
     return run
 
 
@@ -257,29 +277,28 @@ def near_duplicates(docs: DataFrame, rule: Similarity = Similarity()) -> DataFra
     groups = shared.join(reps, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
     several = groups.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     live = cut(groups.join(several.select("key"), "key", "left_semi"))
-    links = _links(docs, members, live, rule)
-    found = components(links)
+    found = _joined(docs, members, live, rule)
     return (
-        members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"),
+        members.join(found.withColumnRenamed("doc_id", "rep"), "rep", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id"),
                 F.when(F.col("n") > 0, F.col("rep")).alias("class_id"))
     )
 
 
-def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarity) -> DataFrame:
-    """Verified links between class representatives that connect all that is linked."""
+def _joined(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarity) -> DataFrame:
+    """(doc_id, comp) of all class representatives with candidates: the smallest one reachable by verified links."""
     ids = cut(live.select("doc_id").distinct())
     few = ids.count() <= BROADCAST_IDS
     wanted = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = cut(wanted.mapInArrow(set_writer(rule), "doc_id long, set binary").dropDuplicates(["doc_id"]))
-    info = cut(members.join(ids, "doc_id", "left_semi").select("doc_id", "n", *SKETCH).dropDuplicates(["doc_id"]))
+    sets = cut(wanted.mapInArrow(set_writer(rule), SETS_DDL).dropDuplicates(["doc_id"]))
+    info = members.join(ids, "doc_id", "left_semi").select("doc_id", "n", *SKETCH).dropDuplicates(["doc_id"])
+    info = cut(info.join(sets.select("doc_id", "wide"), "doc_id"))
     # First one hub per document, its smallest candidate, which joins most of every group.
     first = live.groupBy("key").agg(F.min("doc_id").alias("b"))
     pairs = live.join(first, "key").where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
-    links = _verified(pairs, info, sets, rule)
+    comp = _merged(ids.select("doc_id", F.col("doc_id").alias("comp")), _verified(pairs, info, sets, rule))
     turn = 0
     while True:
-        comp = _labels(ids, links)
         labelled = live.join(comp, "doc_id")
         hubs = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * HUBS + h)).alias("o"), "doc_id", "comp")).alias(f"h{h}") for h in range(HUBS)]
         mixed = labelled.groupBy("key").agg(
@@ -289,14 +308,14 @@ def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarit
         large = live.where(F.col("k") > SMALL_GROUP)
         small = live.where(F.col("k") <= SMALL_GROUP).select("key", "doc_id", "comp").join(info, "doc_id")
         order = ["key", "comp", "doc_id"]
-        found = small.select(*order, "n", *SKETCH).repartition("key").sortWithinPartitions(*order).mapInArrow(
+        found = small.select(*order, "n", *SKETCH, "wide").repartition("key").sortWithinPartitions(*order).mapInArrow(
             _close_in_group(rule, turn if turn < NEAREST else None), "a long, b long")
         star = large.select("doc_id", "comp", F.explode("hubs").alias("hub")).where("comp <> hub.comp")
         star = star.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
-        links = cut(links.union(_verified(found.union(star).distinct(), info, sets, rule)))
+        comp = _merged(comp, _verified(found.union(star).distinct(), info, sets, rule))
         none = large.isEmpty()
-        if none and (turn >= NEAREST or small.isEmpty()):
-            return links
+        if none and (turn >= NEAREST or live.isEmpty()):
+            return comp
         rest = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
         if not none:
             rest = _split(rest, sets, rule, turn + 1) if turn < SPLITS else cut(rest)
@@ -305,6 +324,15 @@ def _links(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similarit
         turn += 1
 
 
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (doc_id, comp) after new links (a, b): only the components that the links join are worked on."""
+    if links.isEmpty():
+        return comp
+    x, y = comp.select(F.col("doc_id").alias("a"), F.col("comp").alias("x")), comp.select(F.col("doc_id").alias("b"), F.col("comp").alias("y"))
+    found = components(links.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return cut(comp.join(found.withColumnRenamed("node", "comp"), "comp", "left").select("doc_id", F.coalesce("component", "comp").alias("comp")))
+
+
 def _split(live: DataFrame, sets: DataFrame, rule: Similarity, turn: int) -> DataFrame:
     """Keys of large groups combined with the keys of another sketch; keys of a single set go."""
     own = sets.join(live.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_other_keys(rule, turn), "key long, doc_id long")
@@ -323,15 +351,46 @@ def _other_keys(rule: Similarity, turn: int):
     return run
 
 
-def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).withColumnRenamed("node", "doc_id")
-    return cut(ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")))
+class Wide:
+    """Long sketches of a key's sets at every length that pairs are compared at."""
+
+    def __init__(self, raw: list[bytes]):
+        self.bits = np.array([len(b) * 8 for b in raw], np.int64)
+        self.raw, self.folded = raw, {}
+
+    def at(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches of all sets with at least ``bits`` bits, folded to that length, and the row of each set among them."""
+        if bits not in self.folded:
+            own = np.flatnonzero(self.bits >= bits)
+            place = np.zeros(len(self.bits), np.int64)
+            place[own] = np.arange(len(own))
+            rows = np.zeros((len(own), bits // 64), np.uint64)
+            for k, i in enumerate(own.tolist()):
+                whole = np.frombuffer(self.raw[i], np.uint64)
+                rows[k] = np.bitwise_xor.reduce(whole.reshape(-1, bits // 64), axis=0)
+            self.folded[bits] = rows, place
+        return self.folded[bits]
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Hamming distances of pairs at the shorter of their lengths; 0 where a set has no long sketch."""
+        bits, out = np.minimum(self.bits[i], self.bits[j]), np.zeros(len(i), np.int64)
+        for length in np.unique(bits[bits > 0]).tolist():
+            rows, place = self.at(length)
+            own = np.flatnonzero(bits == length)
+            step = max(1, ROW_PAIRS * 4 // rows.shape[1])
+            for k in range(0, len(own), step):
+                part = own[k:k + step]
+                out[part] = np.bitwise_count(rows[place[i[part]]] ^ rows[place[j[part]]]).sum(1, dtype=np.int64)
+        return out
 
 
 def _close_in_group(rule: Similarity, rank: int | None):
-    """Pairs of one key and different components whose sizes and short sketches allow a link: all of them, or for each set the
+    """Pairs of one key and different components whose sizes and sketches allow a link: all of them, or for each set the
     one of a rank by sketch distance. Rows come sorted by key."""
-    def pairs(d, comp, n, sketch):
+    def pairs(d, comp, n, raw, sketch):
+        if comp[0] == comp[-1]:
+            return
+        wide = Wide(raw)
         step = max(1, ROW_PAIRS // len(d))
         for at in range(0, len(d), step):
             own = slice(at, at + step)
@@ -341,9 +400,13 @@ def _close_in_group(rule: Similarity, rank: int | None):
             other = comp[own, None] < comp[None, after:] if rank is None else comp[own, None] != comp[None, after:]
             low = np.minimum(n[own, None], n[None, after:])
             good = other & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total) & (low * rule.q >= (total - low) * rule.p)
+            i, j = np.nonzero(good)
+            exact = np.maximum(apart[i, j], wide.apart(at + i, after + j))
+            close = exact * (rule.q + rule.p) <= (rule.q - rule.p) * (n[at + i] + n[after + j])
             if rank is None:
-                i, j = np.nonzero(good)
+                i, j = i[close], j[close]
             else:
+                good[i, j], apart[i, j] = close, exact
                 far = np.where(good, apart, 1 << 20)
                 k = np.minimum(rank, good.sum(1) - 1)
                 i = np.flatnonzero(k >= 0)
@@ -359,17 +422,17 @@ def _close_in_group(rule: Similarity, rank: int | None):
     def run(batches):
         held = None
         for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in ("key", "doc_id", "comp", "n", *SKETCH)]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "comp", "n", "wide", *SKETCH)]
             held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
             if not len(held[0]):
                 continue
             edges = np.flatnonzero(np.diff(held[0])) + 1
             for i, j in zip([0, *edges[:-1]], edges):
-                yield from pairs(*[c[i:j] for c in held[1:4]], np.stack([c[i:j] for c in held[4:]], 1).view(np.uint64))
+                yield from pairs(*[c[i:j] for c in held[1:5]], np.stack([c[i:j] for c in held[5:]], 1).view(np.uint64))
             if len(edges):
                 held = [c[edges[-1]:] for c in held]
         if held is not None and len(held[0]):
-            yield from pairs(*held[1:4], np.stack(held[4:], 1).view(np.uint64))
+            yield from pairs(*held[1:5], np.stack(held[5:], 1).view(np.uint64))
     return run
 
 
