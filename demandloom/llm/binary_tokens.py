@@ -29,8 +29,8 @@ END = 0
 GROUP_BYTES = 4 << 20
 CONSTANTS = {"version": 1, "bits": rans.BITS, "lanes": rans.LANES, "block": rans.BLOCK, "end": END}
 
-IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-COUNTED = pa.schema([("id", pa.int64()), ("n", pa.int64())])
+IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("id", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+IDS_DDL = "doc_id long, ids binary, id array<int>, n array<long>"
 CODED = pa.schema([
     ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("blocks", pa.list_(pa.binary())), ("range", pa.int32()),
 ])
@@ -40,12 +40,18 @@ READ = pa.schema([("doc_id", pa.int64()), ("range", pa.int32()), ("start_in_rang
 
 
 def _to_ids(tokenizer: str):
+    """Ids of every document; the last row of a task has no document but the counts of the task's ids."""
     def run(batches):
         coder = encoder(tokenizer)
         end = np.array([END], coder.width).tobytes()
+        counts = np.zeros(max(coder.size, END + 1), np.int64)
         for batch, _ in tx.slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            yield tx.batch_of(IDS, batch.column("doc_id"), tx.blobs([b + end for b in coder.encode(texts)]))
+            ids = [b + end for b in coder.encode(t or "" for t in batch.column("text").to_pylist())]
+            counts += np.bincount(np.frombuffer(b"".join(ids), coder.width), minlength=len(counts))
+            nothing = [None] * len(ids)
+            yield tx.batch_of(IDS, batch.column("doc_id"), tx.blobs(ids), nothing, nothing)
+        used = np.flatnonzero(counts)
+        yield tx.batch_of(IDS, [None], [None], [used.tolist()], [counts[used].tolist()])
     return run
 
 
@@ -59,18 +65,6 @@ def _groups(batch: pa.RecordBatch, column: str):
         at = end
 
 
-def _count(width: str, size: int):
-    def run(batches):
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            for part in _groups(batch, "ids"):
-                raw = b"".join(part.column("ids").to_pylist())
-                counts += np.bincount(np.frombuffer(raw, width), minlength=size)
-        used = np.flatnonzero(counts)
-        yield tx.batch_of(COUNTED, used, counts[used])
-    return run
-
-
 def _code(width: str, table, bounds: list[int]):
     def run(batches):
         codes = rans.Table(table.value)
@@ -117,11 +111,13 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> np.ndarray:
     ranges = max(1, math.ceil(math.sqrt(n) / 4))
     bounds = sorted({int(b) for b in docs.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))}) if n else []
     temporary = scratch_path(spark, "ids")
-    docs.mapInArrow(_to_ids(tokenizer), "doc_id long, ids binary").write.option("compression", "zstd").parquet(temporary)
-    ids = spark.read.schema("doc_id long, ids binary").parquet(temporary)
+    docs.mapInArrow(_to_ids(tokenizer), IDS_DDL).write.option("compression", "zstd").parquet(temporary)
+    rows = spark.read.schema(IDS_DDL).parquet(temporary)
     counts = np.zeros(size, np.int64)
-    for i, k in ids.mapInArrow(_count(width, size), "id long, n long").groupBy("id").agg(F.sum("n")).collect():  # at most one row an id
+    at = rows.where("doc_id IS NULL").select(F.explode(F.arrays_zip("id", "n")).alias("c")).select("c.id", "c.n")
+    for i, k in at.groupBy("id").agg(F.sum("n")).collect():  # at most one row an id
         counts[i] = k
+    ids = rows.where("doc_id IS NOT NULL").select("doc_id", "ids")
     table = spark.sparkContext.broadcast(counts)
     coded = ids.mapInArrow(_code(width, table, bounds), "doc_id long, n_tokens long, ids_crc32 long, blocks array<binary>, range int")
     laid = coded.repartition("range").sortWithinPartitions("range", "doc_id", "n_tokens", "ids_crc32").mapInArrow(

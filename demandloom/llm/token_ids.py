@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,8 @@ class IdEncoder:
         self.width = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         # A special token's own text must not be cut: with such a token around, only white space cuts.
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.shown = np.array([ord(letters[b]) for b in range(256)], "<u4")
         # Words go to the library's model directly if its pre-tokenizer is the plain byte-level one.
         plain = Tokenizer(self.library.model)
         plain.pre_tokenizer = ByteLevel(add_prefix_space=False)
@@ -79,30 +81,47 @@ class IdEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.memory: dict[int, int] = {}
-        self.ids = np.zeros(1 << 20, self.width)
-        self.begin, self.count = np.zeros(MEMORY_PIECES, np.int64), np.zeros(MEMORY_PIECES, np.int64)
-        self.used = 0
+        self.known = np.zeros(0, np.uint64)  # hashes of the remembered pieces in order, and the number of each
+        self.place = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.width)
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         encode = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
         return [e.ids for e in encode(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: list[int], pieces: list[str]) -> None:
-        word = [self.words and (p[1:] if p[0] == " " else p).isalpha() for p in pieces]
-        others = iter(self._library([p for p, w in zip(pieces, word) if not w]))
-        model, letters = self.library.model, self.letters
-        for key, piece, w in zip(keys, pieces, word):
-            ids = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))] if w else next(others)
-            at = len(self.memory)
-            if at >= len(self.begin):
-                self.begin, self.count = np.append(self.begin, self.begin * 0), np.append(self.count, self.count * 0)
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros(len(self.ids) + len(ids), self.width))
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.begin[at], self.count[at] = self.used, len(ids)
-            self.used += len(ids)
-            self.memory[key] = at
+    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Remember the pieces ``data[starts:ends]``, whose hashes ``keys`` are in order and new."""
+        tokenize, shown, raw = self.library.model.tokenize, self.shown[data].tobytes().decode("utf-32-le"), data.tobytes()
+        other = np.concatenate([[0], np.cumsum(_KIND[data] != 1)])
+        inner = starts + (data[starts] == 0x20)
+        plain = ((other[ends] == other[inner]) & (ends > inner)) if self.words else np.zeros(len(keys), bool)
+        found: list[list[int]] = [[]] * len(keys)
+        rest = []
+        for k, (i, j, word) in enumerate(zip(starts.tolist(), ends.tolist(), plain.tolist())):
+            if not word:
+                piece = raw[i:j].decode()
+                word = self.words and (piece[1:] if piece[0] == " " else piece).isalpha()
+            if word:
+                found[k] = [t.id for t in tokenize(shown[i:j])]
+            else:
+                rest.append((k, piece))
+        for (k, _), ids in zip(rest, self._library([p for _, p in rest])):
+            found[k] = ids
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(count) - count)
+        self.count = np.append(self.count, count)
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), self.width, int(count.sum())))
+        at = np.searchsorted(self.known, keys)
+        self.place = np.insert(self.place, at, len(self.known) + np.arange(len(keys)))
+        self.known = np.insert(self.known, at, keys)
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with the hashes ``keys``, -1 for new ones."""
+        if not len(self.known):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return np.where(self.known[at] == keys, self.place[at], -1)
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as bytes of type ``width``."""
@@ -120,17 +139,15 @@ class IdEncoder:
         ends = np.append(starts[1:], len(column.data))
         hashed = tx.hashes(column, tx.Words(starts, ends, starts))
         distinct, first, index = np.unique(hashed, return_index=True, return_inverse=True)
-        if len(self.memory) > MEMORY_PIECES:
+        if len(self.known) > MEMORY_PIECES:
             self._clear()
-        keys = distinct.tolist()
-        place = list(map(self.memory.get, keys))
-        missing = [i for i, p in enumerate(place) if p is None]
-        if missing:
-            raw = column.data.tobytes()
-            at = first[missing]
-            self._learn([keys[i] for i in missing], [raw[i:j].decode() for i, j in zip(starts[at].tolist(), ends[at].tolist())])
-            place = list(map(self.memory.__getitem__, keys))
-        own = np.array(place, np.int64)[index]
+        place = self._places(distinct)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            at = first[new]
+            self._learn(distinct[new], column.data, starts[at], ends[at])
+            place = self._places(distinct)
+        own = place[index]
         counts = self.count[own]
         flat = self.ids[tx.spans(self.begin[own], counts)]
         bounds = tx.offsets_of(counts)[np.append(np.searchsorted(starts, column.offsets[:-1]), len(starts))]
