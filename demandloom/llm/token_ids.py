@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from demandloom.llm import text as tx
 
-MEMORY_PIECES = 600_000
+MEMORY_PIECES = 2_000_000
 
 _KIND = np.full(256, 3, np.uint8)  # 0 white space, 1 letter, 2 digit, 3 sign, 4 apostrophe, 5 beyond ASCII
 _KIND[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = 0
