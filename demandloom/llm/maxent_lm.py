@@ -3,11 +3,12 @@
 Tokens are lower-cased words and one end per text. A token's class is its band of training frequency, all classes having
 about the same share of the training tokens, and P(token | context) = P(class | context) * (c + 0.1) / (sum of c + 0.1 over the
 class), where tokens never seen share one further place in the rarest class. The class is predicted by a maximum-entropy
-model on hashed features: the word before, the word two before (a skip), and both (an n-gram); rare words count as their class.
+model on hashed features: the word before, the word two before (a skip), and both (an n-gram); words seen fewer than ``NAMED`` times
+in the whole training count as their class, whatever the size of the input.
 
 Counts cover all training texts. Texts are kept in chunks of tokens with a list of the chunk's distinct tokens; the lists are
 dealt by hash to shards, summed there, and the totals go back to the chunks, so a token costs one entry a chunk, however
-frequent it is, and no text is shuffled twice. Training goes through all chunks in ``ROUNDS`` portions; for each,
+frequent it is, and no text is shuffled twice. Training goes through all texts in ``ROUNDS`` portions by a hash of doc_id; for each,
 tasks sum gradients and curvatures of the weights they touch, Spark adds them up by blocks of weights, and the driver
 makes a damped Newton step for every weight. The weight table has a fixed size. Scoring works on blocks of tokens in numpy.
 
@@ -43,10 +44,10 @@ END = np.uint64(0x9AE16A3B2F90404F)
 TOTAL = "<u8"  # a token's total may pass 32 bits; its number in a chunk can't
 
 CHUNK = pa.schema([
-    ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("size", pa.list_(pa.int32())), ("index", pa.binary()),
+    ("chunk", pa.int64()), ("turn", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("size", pa.list_(pa.int32())), ("index", pa.binary()),
     ("hash", pa.binary()), ("n", pa.binary()),
 ])
-CHUNK_DDL = "chunk long, doc_id array<long>, held_out array<boolean>, size array<int>, index binary, hash binary, n binary"
+CHUNK_DDL = "chunk long, turn int, doc_id array<long>, held_out array<boolean>, size array<int>, index binary, hash binary, n binary"
 
 
 def planes(values: np.ndarray, kind: str = "<u4") -> bytes:
@@ -71,10 +72,14 @@ def tokens(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunks(batches):
-    number, held = TaskContext.get().partitionId() << 32, []
+    """Texts of one turn of the training in chunks of their own: which texts learn together does not depend on the input's partitions."""
+    number = TaskContext.get().partitionId() << 32
+    held: list[list] = [[] for _ in range(ROUNDS)]
+    total = [0] * ROUNDS
 
-    def made(parts):
+    def made(turn):
         nonlocal number
+        parts, held[turn], total[turn] = held[turn], [], 0
         hashed = np.concatenate([p[0] for p in parts])
         size = np.concatenate([p[1] for p in parts])
         out = [v for p in parts for v in p[3]]
@@ -82,19 +87,22 @@ def _chunks(batches):
         learn = ~np.repeat(np.array(out, bool), size)
         n = np.bincount(index[learn], minlength=len(distinct))
         number += 1
-        return tx.batch_of(CHUNK, [number], [[v for p in parts for v in p[2]]], [out], [size.tolist()], [planes(index)],
+        return tx.batch_of(CHUNK, [number], [turn], [[v for p in parts for v in p[2]]], [out], [size.tolist()], [planes(index)],
                            [distinct.tobytes()], [planes(n)])
 
-    total = 0
     for batch, texts in tx.slices(batches):
         hashed, size = tokens(texts)
-        held.append((hashed, size, batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()))
-        total += len(hashed)
-        if total >= CHUNK_TOKENS:
-            yield made(held)
-            held, total = [], 0
-    if held:
-        yield made(held)
+        turns = batch.column("turn").to_numpy()
+        of_token = np.repeat(turns, size)
+        for turn in np.unique(turns).tolist():
+            rows = batch.filter(pa.array(turns == turn))
+            held[turn].append((hashed[of_token == turn], size[turns == turn], rows.column("doc_id").to_pylist(), rows.column("held_out").to_pylist()))
+            total[turn] += len(held[turn][-1][0])
+            if total[turn] >= CHUNK_TOKENS:
+                yield made(turn)
+    for turn in range(ROUNDS):
+        if held[turn]:
+            yield made(turn)
 
 
 DEALT = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("hash", pa.binary()), ("n", pa.binary())])
@@ -162,7 +170,6 @@ class Model:
         inside[lowest] += SMOOTH
         self.log_inside = np.log(np.maximum(inside, 1e-300))
         self.empty = inside == 0
-        self.often = max(NAMED, self.n // 10_000)
         self.weights = np.zeros((BUCKETS, CLASSES), np.float32)
         share = np.where(self.empty, 1.0, inside / max(inside.sum(), 1e-300))
         self.bias = np.where(self.empty, -1e9, np.log(share)).astype(np.float32)
@@ -170,7 +177,7 @@ class Model:
     def context(self, index: np.ndarray, c: np.ndarray, name: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all tokens of a chunk and their features' buckets; texts begin with an empty context."""
         kind = self.classes[np.minimum(band(c), BINS - 1)]
-        word = np.where(c >= self.often, name.astype(np.uint64) + np.uint64(CLASSES + 1), kind.astype(np.uint64))
+        word = np.where(c >= NAMED, name.astype(np.uint64) + np.uint64(CLASSES + 1), kind.astype(np.uint64))
         word = tx.mix(word + np.uint64(1))[index]
         first = np.cumsum(size) - size
         one, two = np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
@@ -214,7 +221,8 @@ GRADIENT = pa.schema([("block", pa.int32()), ("grad", pa.binary()), ("curve", pa
 
 def _gradients(model):
     def run(batches):
-        grad, curve, used = np.zeros((BUCKETS, CLASSES), np.float32), np.zeros((BUCKETS, CLASSES), np.float32), False
+        # in double precision, so that sums don't depend on the number of tasks
+        grad, curve, used = np.zeros((BUCKETS, CLASSES)), np.zeros((BUCKETS, CLASSES)), False
         for batch in batches:
             for _, out, size, index, c, name in _columns(batch):
                 kind, features = model.value.context(index, c, name, size)
@@ -224,7 +232,8 @@ def _gradients(model):
                     used = True
         if used:
             for b in range(BUCKETS // BLOCK):
-                yield tx.batch_of(GRADIENT, [b], [grad[b * BLOCK:(b + 1) * BLOCK].tobytes()], [curve[b * BLOCK:(b + 1) * BLOCK].tobytes()])
+                part = slice(b * BLOCK, (b + 1) * BLOCK)
+                yield tx.batch_of(GRADIENT, [b], [grad[part].astype(np.float32).tobytes()], [curve[part].astype(np.float32).tobytes()])
     return run
 
 
@@ -261,7 +270,8 @@ def _scores(model):
 def counted_chunks(docs: DataFrame) -> tuple[DataFrame, Model]:
     """Chunks of ``docs`` (doc_id, text, held_out) with the training counts of their tokens, and a model with these counts."""
     tx.small_batches(docs.sparkSession)
-    chunks = compact(docs.select("doc_id", "text", "held_out").mapInArrow(_chunks, CHUNK_DDL))
+    turn = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(ROUNDS)).cast("int")
+    chunks = compact(docs.select("doc_id", "text", "held_out", turn.alias("turn")).mapInArrow(_chunks, CHUNK_DDL))
     bits = max(0, (max(chunks.count() // 4, 1) - 1).bit_length() + 2)
     dealt = chunks.select("chunk", "hash", "n").mapInArrow(_deal(bits), "shard long, chunk long, hash binary, n binary")
     reply = cut(dealt.groupBy("shard").applyInArrow(_sum_shard, "shard long, chunk long, c binary, name binary, bins array<long>"))
@@ -278,7 +288,7 @@ def train(counted: DataFrame, model: Model) -> Model:
     context = counted.sparkSession.sparkContext
     for turn in range(ROUNDS if model.n else 0):
         shared = context.broadcast(model)
-        portion = counted.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn)
+        portion = counted.where(F.col("turn") == turn)
         sums = portion.mapInArrow(_gradients(shared), "block int, grad binary, curve binary").groupBy("block").applyInArrow(
             _add_up, "block int, grad binary, curve binary")
         for row in sums.toLocalIterator():
