@@ -188,21 +188,29 @@ class Model:
         features = np.stack([one, two * np.uint64(3), one * np.uint64(5) + two * np.uint64(9)])
         return kind[index], (tx.mix(features) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
-    def log_classes(self, features: np.ndarray) -> np.ndarray:
-        w = self.weights
-        z = w[features[0]] + w[features[1]] + w[features[2]] + self.bias
+    def _logits(self, features: np.ndarray) -> np.ndarray:
+        z = self.weights[features[0]]
+        z += self.weights[features[1]]
+        z += self.weights[features[2]]
+        z += self.bias
         z -= z.max(1, keepdims=True)
+        return z
+
+    def log_classes(self, features: np.ndarray) -> np.ndarray:
+        z = self._logits(features)
         z -= np.log(np.exp(z).sum(1, keepdims=True))
         return z
 
     def gradient(self, kind: np.ndarray, features: np.ndarray, grad: np.ndarray, curve: np.ndarray) -> None:
         """Add observed minus expected class counts, and their variances, of a block of tokens."""
-        p = np.exp(self.log_classes(features))
+        p = self._logits(features)
+        np.exp(p, out=p)
+        p /= p.sum(1, keepdims=True)
         h = p * (1 - p)
         np.negative(p, out=p)
         p[np.arange(len(kind)), kind] += 1
         for f in features:
-            order = np.argsort(f, kind="stable")
+            order = np.argsort(f.astype(np.uint16), kind="stable")  # buckets fit 16 bits, which numpy sorts by radix
             own = f[order]
             at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             grad[own[at]] += np.add.reduceat(p[order], at)
