@@ -114,3 +114,20 @@ def test_wide_baskets_keep_telling_tokens(spark):
     rows = [("block" if i % 2 else "allow", sorted([f"t{j:02d}" for j in range(30)] + (["mark"] if i % 2 else []))) for i in range(40)]
     got = url_rules.mine(spark.createDataFrame(rows, "label string, tokens array<string>"), 0.1, 0.9).collect()
     assert [(r.tokens, r.verdict, r.support) for r in got] == [(["mark"], "block", 20)]
+
+
+def test_wide_baskets_are_mined_whole(spark):
+    """Verdicts that hang on tokens which tell little alone, in rows of more than 12 tokens, beside short rows and a very wide one."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(150):
+        t = sorted(rng.sample("abcdefghijklmn", rng.choice([2, 5, 12, 13, 14])))
+        rows.append(("block" if len({"a", "b", "c"} & set(t)) == 2 and "n" in t else "allow", t))
+    got = {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in url_rules.mine(
+        spark.createDataFrame(rows, "label string, tokens array<string>"), 0.1, 0.4).collect()}
+    want = mined([(set(t), v) for v, t in rows], 0.1, 0.4)
+    assert got == want and any(len(t) > 1 for t, _ in want)
+
+    often = [(v, t + [f"x{i:04d}" for i in range(2000)] if not n else t) for n, (v, t) in enumerate(rows)]
+    wide = url_rules.mine(spark.createDataFrame(often, "label string, tokens array<string>"), 0.1, 0.4).collect()
+    assert {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in wide} == want
