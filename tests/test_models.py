@@ -95,3 +95,18 @@ def test_halving_keeps_the_better_third_and_ends_flat_trials():
     found = tuning.run_search(Fake(), Inputs, tuning.Search(space, trials=12, folds=2), False, 1)
     assert found.best.depth == 4 and found.best.trees == 100
     assert [n for _, n in Fake.calls] == [5, 20, 60, 100] and [k for k, _ in Fake.calls] == [24, 8, 4, 2]
+
+
+def test_clustered_windows_are_built_once(spark, tmp_path, monkeypatch):
+    from demandloom.catalog import queries
+    from demandloom.catalog.views import Retail
+
+    built = []
+    monkeypatch.setattr(Retail, "clustered", lambda self, size, epsilon: None)
+    monkeypatch.setattr(queries.weekly, "store_attributes", lambda stores: stores)
+    monkeypatch.setattr(queries.windows, "store_windows", lambda *a, last_weeks, **o: built.append(list(last_weeks)) or spark.createDataFrame([(w,) for w in last_weeks], "week int"))
+    monkeypatch.setattr(Retail, "positive", None)
+    for weeks in ([52], [47, 52], [52], [47, 52]):
+        frame = queries.clustered_windows(Retail(spark, str(tmp_path)), weeks)
+        assert sorted(r.week for r in frame.collect()) == weeks
+    assert built == [[52], [47, 52]]
