@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from brute import clusters, core, dist, same_partition, tree
 from pyspark.sql import functions as F
@@ -154,3 +155,28 @@ def test_running_totals_across_partitions(spark):
         after = [d[2] for d in mine[1:]] + [None]
         expected += [(g, d[1], t, n) for d, t, n in zip(mine, sums, after, strict=True)]
     assert rows(out, "g", "o", "t", "next") == expected
+
+
+def test_far_and_own_blocks_are_passed_over(monkeypatch):
+    """The cheapest edges equal those of the whole matrix, for a fraction of its distances."""
+    from demandloom.operators import density, space
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 3)).repeat(40, 0) + rng.normal(size=(2400, 3)) * 1e-3
+    frame = pd.DataFrame({"id": rng.permutation(2400), "x": list(x), "core": np.round(rng.random(2400), 1) * 1e-3, "comp": np.arange(2400) // 40})
+    frame["bound"] = 2.0
+    w = np.maximum(np.maximum(space.distances(x, x), frame.core.to_numpy()[:, None]), frame.core.to_numpy()[None, :])
+    w[frame.comp.to_numpy()[:, None] == frame.comp.to_numpy()[None, :]] = np.inf
+    want = []
+    for comp in range(60):
+        rows = np.flatnonzero(frame.comp == comp)
+        ids = frame.id.to_numpy()
+        want.append((comp, *min((w[a, b], min(ids[a], ids[b]), max(ids[a], ids[b]), b // 40) for a in rows for b in np.flatnonzero(w[a] <= w[rows].min()))))
+    done = []
+    monkeypatch.setattr(density, "distances", lambda a, b: done.append(len(a) * len(b)) or space.distances(a, b))
+    for q in (frame, frame.drop(columns="bound")):
+        done.clear()
+        assert [tuple(r) for r in density._cheapest(q, frame).itertuples(index=False)] == [t for t in want if "bound" not in q or t[1] <= 2.0]
+        assert sum(done) < 2400 * 2400 / 3
+    radius = density._leaf_radius(frame.assign(weight=1), 10)
+    assert np.array_equal(radius, np.sort(space.distances(x, x), 1)[:, 9])
