@@ -180,3 +180,9 @@ def test_far_and_own_blocks_are_passed_over(monkeypatch):
         assert sum(done) < 2400 * 2400 / 3
     radius = density._leaf_radius(frame.assign(weight=1), 10)
     assert np.array_equal(radius, np.sort(space.distances(x, x), 1)[:, 9])
+
+
+def test_points_without_a_place_leave_no_edge():
+    place = pd.DataFrame({"id": [1, 2, 3], "x": [np.zeros(3), np.ones(3), np.full(3, np.nan)], "core": [0.5, 0.5, np.nan], "comp": [1, 2, 3]})
+    assert density._cheapest(place, place).empty
+    assert len(density._cheapest(place[:2], place[:2])) == 2
