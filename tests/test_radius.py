@@ -83,3 +83,34 @@ def test_contraction(spark):
     for node, name in got.items():
         groups.setdefault(name, set()).add(node)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_blocks_far_apart_or_wholly_within_are_not_compared(monkeypatch):
+    rng = np.random.default_rng(7)
+    x, y = rng.uniform(0, 0.1, (40, 4)), np.vstack([rng.uniform(0.1, 0.2, (30, 4)), rng.uniform(5, 5.1, (20, 4))])
+    w, v = rng.integers(1, 4, 40), rng.integers(1, 4, 50)
+    near = np.linalg.norm(x[:, None] - y[None], axis=2) <= 0.5
+    asked = []
+    monkeypatch.setattr(radius, "distances", lambda a, b: asked.append(len(a) * len(b)) or np.linalg.norm(a[:, None] - b[None], axis=2))
+    found, back = radius._near(x, np.array([0, 20]), w, y, np.array([0, 30]), v, 0.5)
+    assert found.tolist() == (near @ v).tolist() and back.tolist() == (w @ near).tolist() and not asked
+    found, back = radius._near(x, np.array([0, 20]), w, y, np.array([0, 15]), v, 0.5)  # a block of both kinds
+    assert found.tolist() == (near @ v).tolist() and back.tolist() == (w @ near).tolist() and sum(asked) == 40 * 35
+
+
+def test_dense_chunks_settle_by_a_few_pairs(spark, tmp_path, monkeypatch):
+    """In a crowd only the points that lack neighbours in their own chunk, and pairs that may join components, are compared."""
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.uniform(0, 0.3, (400, 3)), rng.uniform(3, 3.2, (40, 3)), [[9.0, 9.0, 9.0]]])
+    points = radius.weighted_points(frame(spark, x), FEATURES)
+    monkeypatch.setattr(radius, "CHUNK_POINTS", 20)
+    found = radius.chunks(points, FEATURES, 0.6, size=20, join=True)
+    pairs = radius.chunk_pairs(found, 3, 0.6).count()
+    compared = []
+    whole = radius._compared
+    monkeypatch.setattr(radius, "_compared", lambda p, *rest: compared.append(p.count()) or whole(p, *rest))
+    links = radius.group_links(found, 3, 0.6)
+    assert len(compared) == 2 and compared[0] <= 14 * found.count() and sum(compared) < pairs - found.count()
+    assert len({r["component"] for r in components(links).collect()}) == 2
+    core = radius.core_points(points, FEATURES, 0.6, 5, size=20)
+    assert core.where("is_core").count() == 440 and core.count() == 441
