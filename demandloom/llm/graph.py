@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.session import cut, scratch_path
+from demandloom.session import cut, scratch_path, shuffles_released
 
 
 def compact(df: DataFrame) -> DataFrame:
     """``cut`` with stronger compression, for tables of texts and hashes."""
     path = scratch_path(df.sparkSession, "compact")
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,0 +1,21 @@
+"""Tables in the shared folder leave no shuffle files behind."""
+
+from pyspark.sql import functions as F
+
+from demandloom import session
+from demandloom.llm import graph
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def size():
+        files = manager.getAllFiles()
+        return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle"))
+
+    rows = spark.range(200_000).repartition(3, "id").withColumn("x", F.xxhash64("id"))
+    before = size()
+    for write in (session.cut, graph.compact):
+        assert write(rows).count() == 200_000
+    assert size() - before < 100_000  # the counts leave a few bytes
+    assert spark.conf.get(session.CLEANUP) == "false"
