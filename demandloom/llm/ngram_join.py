@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import text as tx
 from demandloom.llm.graph import components
-from demandloom.session import cut
+from demandloom.session import cut, scratch_path, scratch_scope, shuffles_released
 
 MAX_BLOCKS = 128
 HUBS = 4
@@ -263,7 +263,18 @@ def set_writer(rule: Similarity):
 
 def near_duplicates(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked doc_id), class_id (smallest doc_id with the
-    same set; null for an empty set)."""
+    same set; null for an empty set).
+
+    The result is a table in the shared folder; the tables and shuffle files of the way there are gone."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "near")
+    with shuffles_released(spark), scratch_scope(spark):
+        found = _near_duplicates(docs, rule)
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     made = cut(docs.mapInArrow(sketcher(rule), SKETCHED_DDL))
     fingerprint = ["n", "f1", "f2"]
