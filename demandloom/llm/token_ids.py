@@ -19,6 +19,7 @@ import pyarrow as pa
 from demandloom.llm import text as tx
 
 MEMORY_PIECES = 2_000_000
+RUN = 32
 
 _KIND = np.full(256, 3, np.uint8)  # 0 white space, 1 letter, 2 digit, 3 sign, 4 apostrophe, 5 beyond ASCII
 _KIND[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = 0
@@ -27,7 +28,8 @@ _KIND[ord("0"):ord("9") + 1] = 2
 _KIND[ord("'")] = 4
 _KIND[0x80:] = 5
 # Lead bytes of all characters beyond ASCII that are white space.
-_SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def cuts(texts: tx.Texts) -> np.ndarray:
@@ -39,7 +41,7 @@ def cuts(texts: tx.Texts) -> np.ndarray:
         kind = _KIND[data]
         space = kind == 0
         # characters whose last byte may end beyond-ASCII white space: their lead byte is up to two bytes before
-        lead = np.isin(data, _SPACE_LEADS)
+        lead = _LEADS[data]
         near = lead.copy()
         near[1:] |= lead[:-1]
         near[2:] |= lead[:-2]
@@ -78,11 +80,16 @@ class IdEncoder:
         plain.pre_tokenizer = ByteLevel(add_prefix_space=False)
         probe = " Word's été 12 (x) "
         self.words = plain.encode(probe, add_special_tokens=False).ids == self.library.encode(probe, add_special_tokens=False).ids
+        self.zero = letters[0]
+        self.letters = np.zeros(self.size, np.int64)  # of every token, by which the ids of a run of words fall apart again
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.letters[i] = len(token)
         self._clear()
 
     def _clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # hashes of the remembered pieces in order, and the number of each
-        self.place = np.zeros(0, np.int64)
+        # Numbers of the remembered pieces at the slots of their hashes (the next free one where that is taken; -1: free), and their hashes.
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.known = np.zeros(0, np.uint64)
         self.ids = np.zeros(0, self.width)
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -91,37 +98,83 @@ class IdEncoder:
         return [e.ids for e in encode(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Remember the pieces ``data[starts:ends]``, whose hashes ``keys`` are in order and new."""
-        tokenize, shown, raw = self.library.model.tokenize, self.shown[data].tobytes().decode("utf-32-le"), data.tobytes()
-        other = np.concatenate([[0], np.cumsum(_KIND[data] != 1)])
-        inner = starts + (data[starts] == 0x20)
-        plain = ((other[ends] == other[inner]) & (ends > inner)) if self.words else np.zeros(len(keys), bool)
-        found: list[list[int]] = [[]] * len(keys)
-        rest = []
-        for k, (i, j, word) in enumerate(zip(starts.tolist(), ends.tolist(), plain.tolist())):
-            if not word:
-                piece = raw[i:j].decode()
-                word = self.words and (piece[1:] if piece[0] == " " else piece).isalpha()
-            if word:
-                found[k] = [t.id for t in tokenize(shown[i:j])]
+        """Remember the pieces ``data[starts:ends]``, whose hashes ``keys`` are distinct and new."""
+        shown, raw = self.shown[data].tobytes().decode("utf-32-le"), data.tobytes()
+        signs = np.concatenate([[0], np.cumsum(_KIND[data] != 1)])
+        spaced = data[starts] == 0x20
+        plain = (signs[ends] == signs[starts + spaced]) & (ends > starts + spaced) & self.words
+        words, others = np.flatnonzero(plain).tolist(), []
+        for k in np.flatnonzero(~plain).tolist():
+            piece = raw[starts[k]:ends[k]].decode()
+            if self.words and (piece[1:] if piece[0] == " " else piece).isalpha():
+                words.append(k)
             else:
-                rest.append((k, piece))
-        for (k, _), ids in zip(rest, self._library([p for _, p in rest])):
-            found[k] = ids
-        count = np.fromiter(map(len, found), np.int64, len(found))
+                others.append((k, piece))
+        words = np.array(words, np.int64)
+        found, counts = self._run(shown, starts[words], ends[words], spaced[words])
+        rest = self._library([p for _, p in others])
+        more = np.fromiter(map(len, rest), np.int64, len(rest))
+        count = np.concatenate([counts, more])
         self.begin = np.append(self.begin, len(self.ids) + np.cumsum(count) - count)
         self.count = np.append(self.count, count)
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), self.width, int(count.sum())))
-        at = np.searchsorted(self.known, keys)
-        self.place = np.insert(self.place, at, len(self.known) + np.arange(len(keys)))
-        self.known = np.insert(self.known, at, keys)
+        self.ids = np.concatenate([self.ids, found, np.fromiter(chain.from_iterable(rest), self.width, int(more.sum()))])
+        self.known = np.concatenate([self.known, keys[words], keys[np.array([k for k, _ in others], np.int64)]])
+        self._enter(len(self.known) - len(keys))
+
+    def _run(self, shown: str, starts: np.ndarray, ends: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words ``shown[starts:ends]``, and their numbers of ids. The library's model gets many words as one, with a zero byte before those
+        that do not begin with a space. Tokens only grow, so where a token ends at a word's end nothing was merged across; a word
+        with such a token at an end is encoded by itself."""
+        tokenize, size, gap = self.library.model.tokenize, ends - starts, (~spaced).astype(np.int64)
+        begin = np.cumsum(size + gap) - size  # of the words in the run
+        parts = [shown[i:j] if s else self.zero + shown[i:j] for i, j, s in zip(starts.tolist(), ends.tolist(), spaced.tolist())]
+        ids = []
+        for i in range(0, len(parts), RUN):
+            ids += [t.id for t in tokenize("".join(parts[i:i + RUN]))]
+        ids = np.array(ids, np.int64)
+        places = tx.offsets_of(self.letters[ids])
+        first, last = np.searchsorted(places, begin), np.searchsorted(places, begin + size)
+        alone = np.ones(len(parts), bool)
+        if len(parts) and places[-1] == begin[-1] + size[-1]:
+            alone = (places[first] != begin) | (places[last] != begin + size)
+        counts = np.where(alone, 0, last - first)
+        own = {k: [t.id for t in tokenize(shown[starts[k]:ends[k]])] for k in np.flatnonzero(alone).tolist()}
+        counts[list(own)] = [len(x) for x in own.values()]
+        out = np.zeros(int(counts.sum()), self.width)
+        ends = np.cumsum(counts)
+        from_run = np.flatnonzero(~alone)
+        out[tx.spans((ends - counts)[from_run], counts[from_run])] = ids[tx.spans(first[from_run], counts[from_run])]
+        for k, x in own.items():
+            out[ends[k] - len(x):ends[k]] = x
+        return out, counts
+
+    def _enter(self, first: int) -> None:
+        """Give the pieces from number ``first`` on their slots; a third of the slots are taken at most."""
+        if len(self.known) * 3 > len(self.slots):
+            self.slots = np.full(1 << (len(self.known) * 6).bit_length(), -1, np.int32)
+            first = 0
+        number = np.arange(first, len(self.known), dtype=np.int32)
+        last = len(self.slots) - 1
+        slot = (self.known[first:] & np.uint64(last)).astype(np.int64)
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]
+            left = self.slots[slot] != number
+            number, slot = number[left], (slot[left] + 1) & last
 
     def _places(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of the pieces with the hashes ``keys``, -1 for new ones."""
+        last = len(self.slots) - 1
+        slot = (keys & np.uint64(last)).astype(np.int64)
+        place = self.slots[slot].astype(np.int64)
         if not len(self.known):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-        return np.where(self.known[at] == keys, self.place[at], -1)
+            return place
+        wrong = np.flatnonzero((self.known[place] != keys) & (place >= 0))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & last
+            place[wrong] = self.slots[slot[wrong]]
+            wrong = wrong[(place[wrong] >= 0) & (self.known[place[wrong]] != keys[wrong])]
+        return place
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as bytes of type ``width``."""
@@ -138,16 +191,15 @@ class IdEncoder:
         starts = cuts(column)
         ends = np.append(starts[1:], len(column.data))
         hashed = tx.hashes(column, tx.Words(starts, ends, starts))
-        distinct, first, index = np.unique(hashed, return_index=True, return_inverse=True)
         if len(self.known) > MEMORY_PIECES:
             self._clear()
-        place = self._places(distinct)
-        new = np.flatnonzero(place < 0)
+        own = self._places(hashed)
+        new = np.flatnonzero(own < 0)
         if len(new):
-            at = first[new]
-            self._learn(distinct[new], column.data, starts[at], ends[at])
-            place = self._places(distinct)
-        own = place[index]
+            keys, first = np.unique(hashed[new], return_index=True)
+            at = new[first]
+            self._learn(keys, column.data, starts[at], ends[at])
+            own[new] = self._places(hashed[new])
         counts = self.count[own]
         flat = self.ids[tx.spans(self.begin[own], counts)]
         bounds = tx.offsets_of(counts)[np.append(np.searchsorted(starts, column.offsets[:-1]), len(starts))]

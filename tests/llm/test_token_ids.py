@@ -30,3 +30,25 @@ def test_counts_come_with_the_ids(spark, tmp_path):
     ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in read.collect()])
     assert counts.tolist() == np.bincount(ids, minlength=len(counts)).tolist()
     assert read.agg(F.count("*")).first()[0] == len(ODD) + 1
+
+
+def test_words_go_to_the_model_in_runs(monkeypatch):
+    coder = token_ids.IdEncoder(BPE)
+    words = ["w" + "abcdefgh"[i % 8] * (i // 8 + 1) for i in range(200)] + ["été", "Straße", "日本語"]
+    text = " ".join(words) + " 7".join(words)
+    calls = []
+
+    class Model:
+        @staticmethod
+        def tokenize(run, real=coder.library.model.tokenize):
+            calls.append(run)
+            return real(run)
+
+    class Library:
+        model = Model
+        encode_batch = coder.library.encode_batch
+
+    expected = coder.library.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(coder, "library", Library)
+    assert np.frombuffer(coder.encode([text])[0], coder.width).tolist() == expected
+    assert 0 < len(calls) <= 2 * len(words) // token_ids.RUN + 2
