@@ -55,17 +55,20 @@ class Lattice:
 
     def __init__(self, vocabulary: Pieces):
         self.vocabulary = vocabulary
-        names = list(vocabulary.id)
-        joined = "".join(names)
+        # All beginnings of pieces, so that a search ends where no piece goes on; id -1 where a beginning is no piece itself.
+        names = list(dict.fromkeys(name[:n] for name in vocabulary.id for n in range(1, len(name) + 1)))
         size = np.array(list(map(len, names)), np.int64)
-        begin = tx.offsets_of(size)[:-1]
-        hashed = self._hash(*self._sums(joined), begin, size)
-        order = np.argsort(hashed)
-        self.hash = hashed[order]
-        self.ids = np.array([vocabulary.id[n] for n in names], np.int32)[order]
-        self.scores = np.array([vocabulary.score[n] for n in names])[order]
-        self.mask = np.zeros(1 << 20, bool)
-        self.mask[(self.hash >> np.uint64(44)).astype(np.int64)] = True
+        self.hash = self._hash(*self._sums("".join(names)), tx.offsets_of(size)[:-1], size)
+        self.ids = np.array([vocabulary.id.get(n, -1) for n in names], np.int32)
+        self.scores = np.array([vocabulary.score.get(n, 0.0) for n in names])
+        # The last name of every slot of hashes, and before each name the one that shares its slot.
+        slots = (self.hash >> np.uint64(44)).astype(np.int64)
+        self.slot = np.full(1 << 20, -1, np.int32)
+        self.slot[slots] = np.arange(len(names))
+        self.before = np.full(len(names), -1, np.int32)
+        order = np.lexsort((self.slot[slots] == np.arange(len(names)), slots))
+        same = np.flatnonzero(slots[order][1:] == slots[order][:-1])
+        self.before[order[same + 1]] = order[same]
         self.byte_id = np.array(vocabulary.byte_id, np.int32)
 
     @staticmethod
@@ -79,6 +82,17 @@ class Lattice:
     def _hash(points: np.ndarray, sums: np.ndarray, begin: np.ndarray, size) -> np.ndarray:
         return tx.mix((sums[begin + size] - sums[begin]) * tx.powers(tx._INVERSE, len(points) + 1)[begin])
 
+    def _places(self, hashed: np.ndarray) -> np.ndarray:
+        """Numbers of the beginnings with given hashes, -1 where there is none."""
+        place = self.slot[(hashed >> np.uint64(44)).astype(np.int64)]
+        wrong = np.flatnonzero(place >= 0)
+        wrong = wrong[self.hash[place[wrong]] != hashed[wrong]]
+        while len(wrong):
+            place[wrong] = self.before[place[wrong]]
+            wrong = wrong[place[wrong] >= 0]
+            wrong = wrong[self.hash[place[wrong]] != hashed[wrong]]
+        return place
+
     def tables(self, parts: list[str]) -> Tables:
         points, sums = self._sums("".join(parts))
         size = np.array(list(map(len, parts)), np.int64)
@@ -86,16 +100,17 @@ class Lattice:
         left = np.repeat(np.cumsum(size), size) - np.arange(len(points))  # characters to the end of the part
         found = []
         single = np.zeros(len(points), bool)
+        at = np.arange(len(points))
         for n in range(1, min(self.vocabulary.longest, int(size.max())) + 1):
-            at = np.flatnonzero(left >= n)
-            h = self._hash(points, sums, at, n)
-            maybe = np.flatnonzero(self.mask[(h >> np.uint64(44)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(self.hash, h[maybe]), len(self.hash) - 1)
-            good = self.hash[place] == h[maybe]
-            at, place = at[maybe[good]], place[good]
+            if n > 1:
+                at = at[left[at] >= n]
+            place = self._places(self._hash(points, sums, at, n))
+            at, place = at[place >= 0], place[place >= 0]
+            whole = self.ids[place] >= 0
+            own, place = at[whole], place[whole]
             if n == 1:
-                single[at] = True
-            found.append((n, at, self.ids[place], self.scores[place]))
+                single[own] = True
+            found.append((n, own, self.ids[place], self.scores[place]))
         # a character that is no piece: its byte, or minus its code point for several bytes
         other = np.flatnonzero(~single)
         code = points[other].astype(np.int64)
@@ -117,7 +132,7 @@ class Lattice:
             target[place], edge[place], score[place] = own + n, ids, scores
         after = np.zeros(len(degree))
         logp = np.empty(total)
-        by_distance = np.argsort(left, kind="stable")
+        by_distance = np.argsort(left.astype(np.uint16) if size.max() < 1 << 16 else left, kind="stable")
         ends = np.searchsorted(left[by_distance], np.arange(1, int(size.max()) + 2))
         for i, j in zip(ends[:-1], ends[1:]):
             own = node[by_distance[i:j]]
