@@ -17,7 +17,8 @@ their parity sketches allow, as a Hamming distance never exceeds the number of d
 compared as sets. A short sketch of 256 bits is compared first. As it fills up with large sets, a long one follows with at least
 ``BITS`` bits for every element that may differ (up to ``MOST_BITS``, beyond which a set sends on more pairs but loses none); sketches of different
 lengths are compared at the shorter one, to which the longer folds. In the first ``NEAREST`` searches every set of a key names one partner only, its nearest by sketch, then
-the next nearest, which joins what can be joined; the last search names all that are left. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
+the next nearest, which joins what can be joined; the last search names all that are left. A key of up to ``FEW`` sets is searched
+completely the first time, and is done. Sets of a key with more than ``SMALL_GROUP`` sets (a common line, say) must also agree in a
 block of another, independent sketch: such keys are replaced by pairs of keys, which splits them into small groups. What does not
 split is tested against a few hubs a turn, which leave the key when tested, until none is left. So no link that matters
 for a component is lost.
@@ -45,6 +46,7 @@ MAX_BLOCKS = 128
 HUBS = 4
 NEAREST = 2
 SPLITS = 3
+FEW = 16
 SMALL_GROUP = 32_768
 ROW_PAIRS = 1 << 20
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -325,13 +327,16 @@ def _joined(docs: DataFrame, members: DataFrame, live: DataFrame, rule: Similari
         star = star.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
         comp = _merged(comp, _verified(found.union(star).distinct(), info, sets, rule))
         none = large.isEmpty()
-        if none and (turn >= NEAREST or live.isEmpty()):
+        if none and turn >= NEAREST:
+            return comp
+        more = live.where((F.col("k") > FEW) & (F.col("k") <= SMALL_GROUP)).select("key", "doc_id")
+        if none and more.isEmpty():
             return comp
         rest = large.where(~F.array_contains(F.col("hubs.doc_id"), F.col("doc_id"))).select("key", "doc_id")
         if not none:
             rest = _split(rest, sets, rule, turn + 1) if turn < SPLITS else cut(rest)
         # keys that were searched completely are done; the others are searched on
-        live = rest if turn >= NEAREST else small.select("key", "doc_id").union(rest) if not none else small.select("key", "doc_id")
+        live = rest if turn >= NEAREST else more.union(rest) if not none else more
         turn += 1
 
 
@@ -396,25 +401,25 @@ class Wide:
 
 
 def _close_in_group(rule: Similarity, rank: int | None):
-    """Pairs of one key and different components whose sizes and sketches allow a link: all of them, or for each set the
-    one of a rank by sketch distance. Rows come sorted by key."""
+    """Pairs of one key and different components whose sizes and sketches allow a link: all of them, or in a key of more than ``FEW`` sets
+    for each set the one of a rank by sketch distance. Rows come sorted by key."""
     def pairs(d, comp, n, raw, sketch):
         if comp[0] == comp[-1]:
             return
-        wide = Wide(raw)
+        wide, every = Wide(raw), rank is None or len(d) <= FEW
         step = max(1, ROW_PAIRS // len(d))
         for at in range(0, len(d), step):
             own = slice(at, at + step)
-            after = at if rank is None else 0
+            after = at if every else 0
             total = n[own, None] + n[None, after:]
             apart = sum(np.bitwise_count(sketch[own, None, j] ^ sketch[None, after:, j]).astype(np.int64) for j in range(4))
-            other = comp[own, None] < comp[None, after:] if rank is None else comp[own, None] != comp[None, after:]
+            other = comp[own, None] < comp[None, after:] if every else comp[own, None] != comp[None, after:]
             low = np.minimum(n[own, None], n[None, after:])
             good = other & (apart * (rule.q + rule.p) <= (rule.q - rule.p) * total) & (low * rule.q >= (total - low) * rule.p)
             i, j = np.nonzero(good)
             exact = np.maximum(apart[i, j], wide.apart(at + i, after + j))
             close = exact * (rule.q + rule.p) <= (rule.q - rule.p) * (n[at + i] + n[after + j])
-            if rank is None:
+            if every:
                 i, j = i[close], j[close]
             else:
                 good[i, j], apart[i, j] = close, exact
